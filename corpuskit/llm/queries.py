@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import exact_dedup, html_text, packing, pii, secrets, url_filter
+from corpuskit.llm import exact_dedup, fingerprint, html_text, packing, pii, secrets, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,8 +39,12 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op5_packing, op6_pii, op8_url_filter, op9_html_text)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op5_packing, op6_pii, op8_url_filter, op9_html_text, op10_fingerprint)}
 
 
 def oracle_sql() -> dict[str, str]:
