@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import exact_dedup, fingerprint, html_text, packing, pii, secrets, url_filter
+from corpuskit.llm import exact_dedup, fingerprint, html_text, langid, packing, pii, secrets, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_table(spark, sf_dir, "documents")).drop("found")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -44,7 +48,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op5_packing, op6_pii, op8_url_filter, op9_html_text, op10_fingerprint)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op5_packing, op6_pii, op7_language_id, op8_url_filter, op9_html_text, op10_fingerprint)}
 
 
 def oracle_sql() -> dict[str, str]:
