@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows handled at once within an Arrow batch, so that what a worker holds is bounded by a few texts' size and not by the batch.
@@ -33,3 +33,14 @@ def map_documents(docs: DataFrame, schema: str, start: Callable[[], Callable[[li
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, target)], schema=target)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """16 bytes that name a row by its id and its text; rows which repeat both share it. A null text is the empty text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text, F.lit("")))))
+
+
+def rows_of(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their columns, whose ``row_key`` is in ``keys``; of rows that share it, one."""
+    whole = docs.select(F.struct("*").alias("row"), row_key(F.col(id_col), F.col(text_col)).alias("row_key"))
+    return whole.join(keys.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
