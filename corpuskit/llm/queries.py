@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import exact_dedup, fingerprint, html_text, langid, ngram_join, packing, pii, secrets, url_filter
+from corpuskit.llm import exact_dedup, fingerprint, html_text, langid, mixing, ngram_join, packing, pii, secrets, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents")).drop("found")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(_table(spark, sf_dir, "documents")).drop("row_key")
 
@@ -52,7 +56,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op4_ngram_join, op5_packing, op6_pii, op7_language_id, op8_url_filter, op9_html_text, op10_fingerprint)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_mixing, op4_ngram_join, op5_packing, op6_pii, op7_language_id, op8_url_filter, op9_html_text, op10_fingerprint)}
 
 
 def oracle_sql() -> dict[str, str]:
