@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskit.llm.rows import row_key
 from corpuskit.storage import written
 
 #: Bytes of the first digit, and how many times wider each later digit is.
@@ -36,18 +37,19 @@ def _digit(rest: Column, width: int) -> list[Column]:
     ]
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", first_digit: int = FIRST_DIGIT, widening: int = WIDENING) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", first_digit: int = FIRST_DIGIT, widening: int = WIDENING, keys: bool = False) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256; with ``keys`` also row_key (``rows.row_key``).
 
     Of equal normalised texts the smallest ``doc_id`` is kept (null ids sort last). A null text is the empty text, and all
     empty texts form one group. Rows repeated with the same id and text form a group of which exactly one row has
     ``kept``. An empty table gives an empty result; other columns of the input are ignored, whatever their names.
     """
     raw = F.col(text_col)
-    base = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), normalised(raw).cast("binary").alias("bytes"))
+    carried = ["row_key"] if keys else []
+    base = docs.select(*([row_key(F.col(id_col), raw).alias("row_key")] if keys else []), F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), normalised(raw).cast("binary").alias("bytes"))
     # The row numbers hold from here on: every later step reads this table.
     opened = written(
-        base.select("uid", "doc_id", F.unhex(F.sha2("bytes", 256)).alias("sha"), F.lit(0).cast("long").alias("gid"), *_digit(F.col("bytes"), first_digit)),
+        base.select("uid", *carried, "doc_id", F.unhex(F.sha2("bytes", 256)).alias("sha"), F.lit(0).cast("long").alias("gid"), *_digit(F.col("bytes"), first_digit)),
         "radix",
     )
     key = ["gid", "digit", "ended"]
@@ -69,6 +71,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         goes_on = F.col("n").isNotNull() & ~F.col("ended")
         joined = rows.join(spread, [*key, "salt"], "left").select(
             "uid",
+            *carried,
             "doc_id",
             "sha",
             F.when(~goes_on, F.coalesce("n", F.lit(1).cast("long"))).alias("group_size"),
@@ -83,11 +86,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         parts.append(joined.where("gid is null"))
         if last:
             break
-        opened = joined.where("gid is not null").select("uid", "doc_id", "sha", *key, "rest")
+        opened = joined.where("gid is not null").select("uid", *carried, "doc_id", "sha", *key, "rest")
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    return whole.select("doc_id", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    return whole.select("doc_id", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), *carried)
 
 
 def _hot(opened: DataFrame, groups: DataFrame, key: list[str]) -> tuple[list[int], int]:
