@@ -124,13 +124,13 @@ def load(path: str) -> LanguageModel:
         return LanguageModel.parse(f.read())
 
 
-def perplexity(text: Column, lang: Column, paths: Mapping[str, str]) -> Column:
-    """Float column: perplexity under the language's model, line breaks as spaces; null without a model. The models' files are where every executor can read them."""
-    known = dict(paths)
+def perplexity(text: Column, lang: Column, models: Mapping[str, str | LanguageModel]) -> Column:
+    """Float column: perplexity under the language's model, line breaks as spaces; null without a model. Models are paths that every executor can read, or, if they are small, the models themselves."""
+    known = dict(models)
 
     @F.pandas_udf("float")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, langs in batches:
-            yield pd.Series([load(known[g]).perplexity(t) if t is not None and g in known else None for t, g in zip(texts, langs)], dtype="float32")
+            yield pd.Series([(load(m) if isinstance(m, str) else m).perplexity(t) if t is not None and (m := known.get(g)) else None for t, g in zip(texts, langs)], dtype="float32")
 
     return run(F.replace(text, F.lit("\n"), F.lit(" ")), lang)

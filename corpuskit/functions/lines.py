@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is evaluated once a row, however often, and however deep within lambdas, ``f`` names it."""
+    return F.element_at(F.transform(F.array(value), lambda x: f(x)), 1)
+
+
+def bind(df: DataFrame, name: str, value: Column, keep: Callable[[Column], Column] = lambda x: F.lit(True)) -> DataFrame:
+    """Column ``name`` of a value, and only rows for which ``keep`` holds of it.
+
+    It is generated from an array of one or none, for Catalyst copies a projected expression into each filter above it: an expensive one would be evaluated again and again.
+    """
+    return df.select("*", F.explode(F.filter(F.array(value), lambda x: keep(x))).alias(name))
+
+
 def lines(text: Column) -> Column:
     t = F.replace(text, F.lit("\r\n"), F.lit("\n"))
     body = F.when(t.endswith("\n"), F.left(t, F.length(t) - 1)).otherwise(t)

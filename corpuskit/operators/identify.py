@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from corpuskit.functions.lines import lines, without_nul
+from corpuskit.functions.lines import let, lines, without_nul
 from corpuskit.schema import IDENTIFICATION
 
 IDENTIFIED = "struct<label:string,prob:float>"
@@ -36,13 +36,18 @@ class LexiconIdentifier:
         self.lexicon, self.threshold = {k: list(lexicon[k]) for k in sorted(lexicon)}, threshold
 
     def _line(self, line: Column) -> Column:
-        words = F.split(F.regexp_replace(F.lower(without_nul(line)), r"[^\p{L}]+", " "), " ")
-        counts = F.array(*[F.size(F.filter(words, lambda w, own=own: w.isin(*own))) for own in self.lexicon.values()])
-        # one evaluation of the counts a line
-        whole = F.transform(F.array(counts), lambda c: F.struct(F.aggregate(c, F.lit(0), lambda s, x: s + x).alias("all"), F.array_max(c).alias("top"), F.array_position(c, F.array_max(c)).cast("int").alias("at")))
         labels = F.array(*[F.lit(k) for k in self.lexicon])
-        named = F.transform(whole, lambda x: F.when((x["all"] > 0) & (x["top"] / x["all"] >= self.threshold), F.struct(F.element_at(labels, x["at"]).alias("label"), (x["top"] / x["all"]).cast("float").alias("prob"))))
-        return F.element_at(named, 1)
+
+        def count(words: Column, own: list[str]) -> Column:
+            return F.size(F.filter(words, lambda w: w.isin(*own)))
+
+        def named(counts: Column) -> Column:
+            share = F.array_max(counts) / F.aggregate(counts, F.lit(0), lambda s, x: s + x)
+            at = F.array_position(counts, F.array_max(counts)).cast("int")
+            return F.when((F.array_max(counts) > 0) & (share >= self.threshold), F.struct(F.element_at(labels, at).alias("label"), share.cast("float").alias("prob")))
+
+        words = F.split(F.regexp_replace(F.lower(without_nul(line)), r"[^\p{L}]+", " "), " ")
+        return let(let(words, lambda w: F.array(*[count(w, own) for own in self.lexicon.values()])), named)
 
     def identify(self, rows: Column) -> Column:
         return F.transform(rows, self._line)
@@ -95,12 +100,12 @@ class FastTextIdentifier:
         return F.transform(self._raw(self.k)(rows), good)
 
 
-def tagged(ids: Column) -> tuple[Column, Column]:
-    """(identifications with their labels made tags, whether all labels could be): one label that is no tag spoils its document."""
+def tagged(ids: Column) -> Column:
+    """Struct (ids, good): identifications with their labels made tags, and whether all labels could be, for one label that is no tag spoils its document."""
     from corpuskit.functions.tags import parsed
 
     fixed = F.transform(ids, lambda i: F.when(i.isNotNull(), F.struct(parsed(i["label"]).alias("label"), i["prob"].alias("prob"))))
-    return fixed, ~F.exists(fixed, lambda i: i.isNotNull() & i["label"].isNull())
+    return let(fixed, lambda f: F.struct(f.alias("ids"), (~F.exists(f, lambda i: i.isNotNull() & i["label"].isNull())).alias("good")))
 
 
 def line_bytes(rows: Column) -> Column:
@@ -111,15 +116,17 @@ def bins(ids: Column, sizes: Column) -> Column:
     """Array of (label, bytes, conf): a bin for each label and one for the null label; conf is the sum of bytes times probability (1 for null) over all bytes."""
     pairs = F.zip_with(ids, sizes, lambda i, b: F.struct(i["label"].alias("label"), F.coalesce(i["prob"].cast("double"), F.lit(1.0)).alias("prob"), b.alias("bytes")))
     whole = F.aggregate(sizes, F.lit(0).cast("long"), lambda s, x: s + x)
-    labels = F.array_distinct(F.transform(ids, lambda i: i["label"]))
 
-    def one(label: Column) -> Column:
-        own = F.filter(pairs, lambda p: p["label"].eqNullSafe(label))
-        total = F.aggregate(own, F.lit(0).cast("long"), lambda s, p: s + p["bytes"])
-        weighted = F.aggregate(own, F.lit(0.0), lambda s, p: s + p["bytes"] * p["prob"])
-        return F.struct(label.alias("label"), total.alias("bytes"), F.when(whole > 0, weighted / whole).otherwise(F.lit(0.0)).alias("conf"))
+    def every(known: Column) -> Column:
+        def one(label: Column) -> Column:
+            own = F.filter(known["pairs"], lambda p: p["label"].eqNullSafe(label))
+            start = F.struct(F.lit(0).cast("long").alias("bytes"), F.lit(0.0).alias("weighted"))
+            total = F.aggregate(own, start, lambda s, p: F.struct((s["bytes"] + p["bytes"]).alias("bytes"), (s["weighted"] + p["bytes"] * p["prob"]).alias("weighted")))
+            return let(total, lambda t: F.struct(label.alias("label"), t["bytes"].alias("bytes"), F.when(known["whole"] > 0, t["weighted"] / known["whole"]).otherwise(F.lit(0.0)).alias("conf")))
+
+        return F.transform(F.array_distinct(F.transform(known["pairs"], lambda p: p["label"])), one)
 
-    return F.transform(labels, one)
+    return let(F.struct(pairs.alias("pairs"), whole.alias("whole")), every)
 
 
 def vote(found: Column) -> Column:
@@ -130,7 +137,10 @@ def vote(found: Column) -> Column:
 
 def document_identification(found: Column, multilingual: Column, least: float = 0.6) -> Column:
     """Identification of the document: ``multi`` at 0.5 where it is multilingual, else the vote's label with its confidence if that is ``least`` or more, else null."""
-    best = vote(found)
+    return let(vote(found), lambda best: _named(best, multilingual, least))
+
+
+def _named(best: Column, multilingual: Column, least: float) -> Column:
     return F.when(multilingual, F.struct(F.lit("multi").alias("label"), F.lit(0.5).cast("float").alias("prob"))).when(
         best["label"].isNotNull() & (best["conf"] >= least), F.struct(best["label"].alias("label"), best["conf"].cast("float").alias("prob"))
     )
