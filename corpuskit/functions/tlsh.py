@@ -1,4 +1,4 @@
-"""Trend locality-sensitive hash (TLSH) of 256 buckets with a three-byte checksum, from the published algorithm; the hexadecimal form of version 4, ``T1`` and 140 digits."""
+"""Trend locality-sensitive hash (TLSH) of 256 buckets with a three-byte checksum, from the published algorithm; the hexadecimal form of version 4, ``T1`` and 138 digits."""
 
 from __future__ import annotations
 
