@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from corpuskit.llm.rows import SLICE, row_key
 from corpuskit.storage import written
 
-NGRAM, THRESHOLD, TOLERANCE = 3, 0.5, 1e-4
+NGRAM, THRESHOLD, TOLERANCE = 3, 0.5, 1e-6
 BANDS, BAND_ROWS = 80, 4
 #: MinHash values compared at a time.
 STEP = 32
