@@ -225,7 +225,7 @@ def _run(ids: list[int | None], texts: list[str], following: list[str]) -> Itera
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The next document is the one with the next greater ``doc_id``, ties by text, null ids first; the last one's is the first. A single document follows itself. A null text is
+    The next document is the one with the next greater ``doc_id``, ties by a hash of the text and then the text, null ids first; the last one's is the first. A single document follows itself. A null text is
     the empty text. Texts too short for a feature have an empty fingerprint; two such are alike (1.0), and unlike any other (0.0). An empty table gives an empty result; other
     columns are ignored. Equal texts have equal fingerprints.
 
@@ -233,8 +233,9 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     two of each range, and no others, are set aside and joined afterwards.
     """
     rows = documents(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc()]
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Ranges are cut by the id and a hash of the text, so that the sample that the driver cuts them by holds no texts.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order, F.col("text").asc())
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([*_COLUMNS, ("first", pa.string()), ("last", pa.string())])
