@@ -71,9 +71,9 @@ def categories(docs: DataFrame, url: str, blocklist: DataFrame, parent_domains:
     bare = F.regexp_replace(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     rows = docs.withColumns({"__host": name, "__url": bare})
     if parent_domains:
-        rows = rows.withColumn("__row", F.monotonically_increasing_id())
-        hits = rows.select("__row", F.explode(_parents(F.col("__host"))).alias("__domain")).join(side("domain", "__domain"), "__domain").groupBy("__row").agg(F.flatten(F.collect_set("__domain_found")).alias("__host_found"))
-        rows = rows.join(hits, "__row", "left").drop("__row")
+        above = rows.where("__host is not null").select("__host").distinct().select("__host", F.explode(_parents(F.col("__host"))).alias("__domain"))
+        hits = above.join(side("domain", "__domain"), "__domain").groupBy("__host").agg(F.flatten(F.collect_set("__domain_found")).alias("__host_found"))
+        rows = rows.join(hits, "__host", "left")
     else:
         rows = rows.join(side("domain", "__host"), "__host", "left")
     rows = rows.join(side("url", "__url"), "__url", "left")

@@ -36,7 +36,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     if not _written:
         atexit.register(drop_written)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return kept_at(spark.read.schema(df.schema).parquet(path), path)
+
+
+def kept_at(df: DataFrame, path: str) -> DataFrame:
+    """``df``, marked as what is read from ``path``, for ``discard``."""
+    df._written_path = path
+    return df
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables at once. For those that only tables already written themselves were made of: nothing that is still to run may read them."""
+    for df in tables:
+        spark, path = df.sparkSession, df._written_path
+        _written.remove((spark, path))
+        _delete(spark, path)
 
 
 def drop_written() -> None:
@@ -44,8 +64,6 @@ def drop_written() -> None:
     while _written:
         spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(spark, path)
         except Exception:  # the session has ended: whoever owns the folder cleans it
             continue
