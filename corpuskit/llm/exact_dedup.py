@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.llm.rows import row_key
-from corpuskit.storage import written
+from corpuskit.storage import discard, written
 
 #: Bytes of the first digit, and how many times wider each later digit is.
 FIRST_DIGIT, WIDENING = 256, 16
@@ -52,6 +52,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         base.select("uid", *carried, "doc_id", F.unhex(F.sha2("bytes", 256)).alias("sha"), F.lit(0).cast("long").alias("gid"), *_digit(F.col("bytes"), first_digit)),
         "radix",
     )
+    first = opened
     key = ["gid", "digit", "ended"]
     parts: list[DataFrame] = []
     width = first_digit
@@ -83,6 +84,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         last = groups.where(~F.col("ended")).isEmpty()
         if not last:
             joined = written(joined, "radix")
+            discard(groups, *([first] if opened is first else []))
         parts.append(joined.where("gid is null"))
         if last:
             break

@@ -22,12 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.llm.rows import SLICE, row_key
-from corpuskit.storage import written
+from corpuskit.storage import discard, kept_at, written
 
 NGRAM, THRESHOLD, TOLERANCE = 3, 0.5, 1e-6
+#: At the threshold 0.994 of all pairs share a band (1 - (1 - 0.5 ** 4) ** 80), at 0.6 all but some in a hundred thousand.
 BANDS, BAND_ROWS = 80, 4
 #: MinHash values compared at a time.
 STEP = 32
+#: Values that come along with a pair at first; only pairs that outlive them get the rest.
+HEAD = 64
 #: Rows of ids that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 19
 #: Code points hashed at once.
@@ -201,9 +204,7 @@ def _featured(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 
 
 def _pruned(pairs: DataFrame, feats: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """The pairs (a, b) that aren't dropped by their MinHash values."""
-    sig = feats.select("uid", "sig")
-    both = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
+    """The pairs (a, b) that aren't dropped by their MinHash values: by the first HEAD of them, then by all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +215,11 @@ def _pruned(pairs: DataFrame, feats: DataFrame, threshold: float, tolerance: flo
                 if keep.any():
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    return both.mapInArrow(run, "a long, b long")
+    for values in (F.substring("sig", 1, HEAD), F.col("sig")):
+        sig = feats.select("uid", values.alias("sig"))
+        both = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
+        pairs = both.mapInArrow(run, "a long, b long")
+    return pairs
 
 
 def _verified(pairs: DataFrame, feats: DataFrame, keyed: DataFrame, n: int, threshold: float, tolerance: float) -> DataFrame:
@@ -239,7 +244,9 @@ def _verified(pairs: DataFrame, feats: DataFrame, keyed: DataFrame, n: int, thre
             found = [jaccard(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "jaccard"])
 
-    return written(both.mapInArrow(hold, "a long, b long, jaccard double").where(F.col("jaccard") >= threshold), "links")
+    links = written(both.mapInArrow(hold, "a long, b long, jaccard double").where(F.col("jaccard") >= threshold), "links")
+    discard(pairs, needed, sets)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -257,12 +264,14 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x")).select("x.*")
-        e = written(small.where("u <> v").distinct(), "star")
+        e, old = written(small.where("u <> v").distinct(), "star"), e
+        discard(old)
         after = state(e)
         if after == before:
             break
         before = after
-    return e.select(F.col("u").alias("uid"), F.col("v").alias("comp")).unionByName(e.select(F.col("v").alias("uid"), F.col("v").alias("comp")).distinct())
+    both = e.select(F.col("u").alias("uid"), F.col("v").alias("comp")).unionByName(e.select(F.col("v").alias("uid"), F.col("v").alias("comp")).distinct())
+    return kept_at(both, e._written_path)
 
 
 def ngram_join(
@@ -297,17 +306,20 @@ def ngram_join(
     links = _verified(first, feats, keyed, n, threshold, tolerance)
     comps = components(links)
     placed = written(members.join(comps, "uid", "left").select("key", "uid", F.coalesce("comp", "uid").alias("comp")), "placed")
+    discard(members, comps)
     mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
     apart = placed.join(mixed, "key", "left_semi")
     other = apart.select("key", F.col("uid").alias("uid_b"), F.col("comp").alias("comp_b"))
     cross = apart.join(other, "key").where("comp < comp_b").select(F.least("uid", "uid_b").alias("a"), F.greatest("uid", "uid_b").alias("b")).distinct()
     links = links.unionByName(_verified(cross, feats, keyed, n, threshold, tolerance))
     comps = components(links)
+    rows = written(feats.select("doc_id", "row_key", "set_key", "uid"), "rows")
+    discard(placed, feats)
     count = links.select(F.explode(F.array("a", "b")).alias("uid")).groupBy("uid").agg(F.count(F.lit(1)).alias("n_links"))
     bound = sets.join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid")).join(count, "uid", "left")
     classes = bound.groupBy("comp").agg(F.min("first").alias("head"), F.sum("n").alias("class_size"))
     known = bound.join(classes, "comp").select("set_key", "first", "n_links", "head", "class_size")
-    return feats.select("doc_id", "row_key", "set_key", "uid").join(known, "set_key").select(
+    return rows.join(known, "set_key").select(
         "doc_id",
         F.col("head.doc_id").alias("class_id"),
         "class_size",
