@@ -4,10 +4,8 @@ Texts with the same set of n-grams are one *set*; its first row stands for it, s
 values. A candidate pair's values are compared a few at a time, and the pair is dropped when the posterior probability that its similarity reaches the threshold
 falls below the tolerance; what is left is verified on the n-grams themselves. Classes are the connected components of the verified links.
 
-No bucket is expanded into pairs. First every set is held against one leader of its buckets, the one that it shares most bands with, and the components of those links
-are found. Then only sets that share a band and still are in different components are compared, all of them. So each candidate pair has either been compared or lies in
-one class already: no class is cut in two, and a group of m near copies costs about m comparisons.
-A hub of links or a hot band is one row on one side of each join, so AQE can split the other side; all aggregates combine before the shuffle.
+Every two sets that share a band are compared, once, so ``n_links`` counts all of a set's links. The sets that share a band are listed as blocks of at most BLOCK by BLOCK
+of them, and a band that many share gives many blocks, so no task has a whole hot band's pairs. All aggregates combine before the shuffle.
 """
 
 from __future__ import annotations
@@ -33,6 +31,12 @@ STEP = 32
 HEAD = 64
 #: Rows of ids that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 19
+#: Sets of a band that are held against as many others by one row.
+BLOCK = 512
+#: Sets, and n-grams of them, of one side of a tile, about: pairs are verified in tiles, each of which gets a set once for all its pairs.
+TILE_SETS, TILE_SHINGLES = 64, 1 << 20
+#: Pairs of a task whose repeats, by bands of the same texts, are looked for at once.
+PAIRS = 1 << 20
 #: Code points hashed at once.
 PIECE = 1 << 19
 
@@ -203,6 +207,109 @@ def _featured(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, row_key binary, set_key binary, n_shingles long, sig binary, bands array<long>")
 
 
+def _blocks(feats: DataFrame, sets: DataFrame, partitions: int) -> DataFrame:
+    """(left, right): uids of sets that share a band, each of the left to be held against each of the right, or against each other where right is null."""
+    rows = feats.where("n_shingles > 0").select("uid", "bands").join(sets.select("uid"), "uid", "left_semi").select(F.explode("bands").alias("key"), "uid")
+    schema = pa.schema([("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64()))])
+
+    def blocks(bucket: np.ndarray) -> Iterator[tuple]:
+        parts = [bucket[at : at + BLOCK] for at in range(0, len(bucket), BLOCK)]
+        for i, left in enumerate(parts):
+            if len(left) > 1:
+                yield left, None
+            for right in parts[i + 1 :]:
+                yield left, right
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []  # the last bucket so far
+        last = None
+        out: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array([x[k] for x in out], f.type) for k, f in enumerate(schema)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, uids = (batch.column(k).to_numpy() for k in (0, 1))
+            cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+            if held and keys[0] != last:
+                for x in blocks(np.concatenate(held)):
+                    out.append(x)
+                    if len(out) >= 256:
+                        yield flush()
+                held = []
+            sizes = np.diff(cuts)
+            if held and len(sizes) > 1:
+                bucket = np.concatenate([*held, uids[: cuts[1]]])
+                for x in blocks(bucket):
+                    out.append(x)
+                    if len(out) >= 256:
+                        yield flush()
+                held = []
+                inner = np.flatnonzero(sizes[1:-1] > 1) + 1
+            else:
+                inner = np.flatnonzero(sizes[:-1] > 1)
+            for k in inner:
+                for x in blocks(uids[cuts[k] : cuts[k + 1]]):
+                    out.append(x)
+                    if len(out) >= 256:
+                        yield flush()
+            held.append(uids[cuts[-2] :])
+            last = keys[-1]
+            if out:
+                yield flush()
+        if held:
+            for x in blocks(np.concatenate(held)):
+                out.append(x)
+                if len(out) >= 256:
+                    yield flush()
+        if out:
+            yield flush()
+
+    found = rows.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(run, "left array<long>, right array<long>")
+    return written(found.repartition(partitions), "blocks")
+
+
+def _candidates(blocks: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) of the blocks, a < b."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            pairs = np.concatenate(parts)
+            parts.clear()
+            order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+            pairs = pairs[order]
+            first = np.ones(len(pairs), bool)
+            first[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+            pairs = pairs[first]
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+        for batch in batches:
+            for left, right in zip(batch.column(0), batch.column(1)):
+                x = left.values.to_numpy()
+                if right.is_valid:
+                    y = right.values.to_numpy()
+                    a, b = np.repeat(x, len(y)), np.tile(y, len(x))
+                else:
+                    i, j = np.triu_indices(len(x), 1)
+                    a, b = x[i], x[j]
+                parts.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+                size += len(a)
+                if size >= PAIRS:
+                    yield flush()
+                    size = 0
+        if parts:
+            yield flush()
+
+    return blocks.mapInArrow(run, "a long, b long").distinct()
+
+
 def _pruned(pairs: DataFrame, feats: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """The pairs (a, b) that aren't dropped by their MinHash values: by the first HEAD of them, then by all."""
 
@@ -226,7 +333,7 @@ def _verified(pairs: DataFrame, feats: DataFrame, keyed: DataFrame, n: int, thre
     """(a, b, jaccard) of the pairs that reach the threshold."""
     pairs = written(_pruned(pairs, feats, threshold, tolerance), "pruned")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    needed = written(feats.select("uid", "row_key").join(ids, "uid", "left_semi"), "needed")
+    needed = written(feats.select("uid", "row_key", "n_shingles").join(ids, "uid", "left_semi"), "needed")
     small = needed.count() <= BROADCAST_ROWS
     texts = keyed.select("row_key", "text").join(F.broadcast(needed) if small else needed, "row_key").dropDuplicates(["uid"]).select("uid", "text")
 
@@ -237,15 +344,36 @@ def _verified(pairs: DataFrame, feats: DataFrame, keyed: DataFrame, n: int, thre
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingles(t, n).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["uid", "s"])
 
     sets = written(texts.mapInArrow(cut, "uid long, s binary"), "shingles")
-    both = pairs.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b").select("a", "b", "s_a", "s_b")
+    # A near group's sets have about the same least neighbour; by that, and cut by a hash where it has many, they are placed.
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("uid"), F.col("b").alias("other")), F.struct(F.col("b").alias("uid"), F.col("a").alias("other")))).alias("x")).select("x.*")
+    led = ends.groupBy("uid").agg(F.least(F.min("other"), F.col("uid")).alias("lead")).join(needed.select("uid", "n_shingles"), "uid")
+    cuts = led.groupBy("lead").agg(F.ceil(F.greatest(F.count(F.lit(1)) / TILE_SETS, F.sum("n_shingles") / TILE_SHINGLES)).alias("cuts"))
+    places = written(led.join(cuts, "lead").select("uid", F.xxhash64("lead", F.pmod(F.xxhash64("uid"), F.col("cuts"))).alias("place")), "places")
+    tile = F.xxhash64(F.least("place_a", "place_b"), F.greatest("place_a", "place_b")).alias("tile")
+    tiled = written(pairs.join(places.toDF("a", "place_a"), "a").join(places.toDF("b", "place_b"), "b").select(tile, "a", "b"), "tiled")
+    members = tiled.select("tile", F.explode(F.array("a", "b")).alias("uid")).distinct()
+    rows = members.join(sets, "uid").select("tile", F.lit(None).cast("long").alias("a"), F.col("uid").alias("b"), "s")
+    rows = rows.unionByName(tiled.select("tile", "a", "b", F.lit(None).cast("binary").alias("s")))
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}  # the sets of a tile come before its pairs
+        last = None
         for batch in batches:
-            found = [jaccard(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "jaccard"])
-
-    links = written(both.mapInArrow(hold, "a long, b long, jaccard double").where(F.col("jaccard") >= threshold), "links")
-    discard(pairs, needed, sets)
+            a, b, found = [], [], []
+            for at, x, y, s in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), batch.column(3)):
+                if at != last:
+                    held, last = {}, at
+                if x is None:
+                    held[y] = np.frombuffer(s.as_py(), np.uint64)
+                elif (j := jaccard(held[x], held[y])) >= threshold:
+                    a.append(x)
+                    b.append(y)
+                    found.append(j)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(found, pa.float64())], names=["a", "b", "jaccard"])
+
+    by_tile = rows.repartition(int(feats.sparkSession.conf.get("spark.sql.shuffle.partitions")), "tile").sortWithinPartitions("tile", F.col("a").asc_nulls_first())
+    links = written(by_tile.mapInArrow(hold, "a long, b long, jaccard double"), "links")
+    discard(pairs, needed, sets, places, tiled)
     return links
 
 
@@ -287,8 +415,8 @@ def ngram_join(
     """One row per input row: doc_id, class_id, class_size, set_id, n_links, kept, row_key.
 
     ``class_id`` is the smallest doc_id of the row's class (null ids sort last), ``class_size`` its number of rows; exactly one row of each class, the one with that
-    id, has ``kept``. ``set_id`` is the smallest doc_id with the same set of n-grams, ``n_links`` the number of verified links to other sets by which the row's set
-    is bound into its class; links that only repeat what a class already says aren't sought. ``row_key`` is ``rows.row_key`` of the row.
+    id, has ``kept``. ``set_id`` is the smallest doc_id with the same set of n-grams, ``n_links`` the number of verified links of the row's set to other sets,
+    of all that share a band with it. ``row_key`` is ``rows.row_key`` of the row.
     A null text is the empty text; texts without words form one class. A text of fewer than ``n`` words has all its words as its one n-gram. An empty table gives an
     empty result; other columns are ignored, whatever their names.
     """
@@ -297,24 +425,12 @@ def ngram_join(
     feats = written(_featured(keyed, n, bands, band_rows).withColumn("uid", F.monotonically_increasing_id()), "minhash")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
     sets = written(feats.groupBy("set_key").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).select("set_key", "n", "first", F.col("first.uid").alias("uid")), "sets")
-    rows = feats.where("n_shingles > 0").select("uid", "bands").join(sets.select("uid"), "uid", "left_semi").select("uid", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("uid").alias("leader"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "leader")
-    members = written(rows.join(shared, "key"), "members")
-    # One leader for each set, then what still is apart in a bucket.
-    led = members.where("uid <> leader").groupBy("leader", "uid").count()
-    first = led.groupBy("uid").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("a")).select("a", F.col("uid").alias("b"))
-    links = _verified(first, feats, keyed, n, threshold, tolerance)
-    comps = components(links)
-    placed = written(members.join(comps, "uid", "left").select("key", "uid", F.coalesce("comp", "uid").alias("comp")), "placed")
-    discard(members, comps)
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    apart = placed.join(mixed, "key", "left_semi")
-    other = apart.select("key", F.col("uid").alias("uid_b"), F.col("comp").alias("comp_b"))
-    cross = apart.join(other, "key").where("comp < comp_b").select(F.least("uid", "uid_b").alias("a"), F.greatest("uid", "uid_b").alias("b")).distinct()
-    links = links.unionByName(_verified(cross, feats, keyed, n, threshold, tolerance))
+    blocks = _blocks(feats, sets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    links = _verified(_candidates(blocks), feats.drop("bands"), keyed, n, threshold, tolerance)
+    discard(blocks)
     comps = components(links)
     rows = written(feats.select("doc_id", "row_key", "set_key", "uid"), "rows")
-    discard(placed, feats)
+    discard(feats)
     count = links.select(F.explode(F.array("a", "b")).alias("uid")).groupBy("uid").agg(F.count(F.lit(1)).alias("n_links"))
     bound = sets.join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid")).join(count, "uid", "left")
     classes = bound.groupBy("comp").agg(F.min("first").alias("head"), F.sum("n").alias("class_size"))

@@ -212,6 +212,28 @@ def test_ngram_join(spark, seed):
     assert all(got[k].set_id == first[sets[k]] for k in got)
 
 
+def brute_links(sets, threshold):
+    """Of each row the number of other distinct sets at the threshold."""
+    distinct = set(sets)
+    near = {s: sum(s != o and len(s & o) / (len(s | o) or 1) >= threshold for o in distinct) for s in distinct}
+    return [near[s] for s in sets]
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_ngram_join_counts_every_link(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "TILE_SETS", block)
+    rng = random.Random(8)
+    base = prose(rng, 120).split(" ")
+    rows = near_rows(3)
+    for k in range(40):  # a group around one text: each is near all others
+        rows.append((len(rows), " ".join([*base[:3 * k], "changed", *base[3 * k + 1 :]])))
+    got = {r.doc_id: r for r in ngram_join.ngram_join(frame(spark, rows)).collect()}
+    _, sets = brute_classes(rows, ngram_join.NGRAM, ngram_join.THRESHOLD)
+    assert [got[k].n_links for k, _ in rows] == brute_links(sets, ngram_join.THRESHOLD)
+    assert all(got[k].n_links >= 39 for k, _ in rows[-40:])
+
+
 def test_similarity_is_exact():
     a, b = "the cat sat on the mat today", "the cat sat on the rug today"
     assert ngram_join.jaccard(ngram_join.shingles(a), ngram_join.shingles(b)) == pytest.approx(3 / 7)
