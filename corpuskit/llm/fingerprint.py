@@ -4,6 +4,9 @@ Every window of 64 bytes of a text has an entropy. A window's rank says how rare
 any prose is full of or that carry nothing. In each run of 64 successive windows the leftmost of lowest rank gains a point; windows with at least 16 points are the text's
 features. Their hashes fill a chain of Bloom filters, of 2048 bits and at most 160 features each. Two digests are compared filter by filter: the overlap of bits over what chance
 gives, normalised by what was possible, the best partner of each filter of the shorter digest, and the mean of those.
+
+A text without a feature (any of under 142 bytes, and one of only windows that carry nothing) has instead all its runs of GRAM bytes, with its ends marked, as features. Where one of two
+texts is such a one, both are compared by these.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +25,8 @@ from corpuskit.llm.rows import documents
 from corpuskit.storage import written
 
 WINDOW, RUN, POINTS = 64, 64, 16
+#: Bytes of the features of texts that have no other.
+GRAM = 6
 BITS, PER_FILTER, HASHES = 2048, 160, 5
 #: Bytes of texts that are worked on at once.
 AT_ONCE = 1 << 18
@@ -117,48 +123,88 @@ def _hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return h
 
 
-Digest = tuple[np.ndarray, np.ndarray]
-
-
-def digests(raws: list[bytes]) -> list[Digest]:
-    """Of each text its filters (rows of 256 bytes) and the number of features in each."""
-    sizes = np.array([len(r) for r in raws], np.int64)
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    data = np.frombuffer(b"".join(raws), np.uint8)
-    full = sizes > 0
-    at, text = _features(data, starts[full], ends[full])
-    h = _hashes(data, at)
-    numbers = np.flatnonzero(full)[text] if len(text) else text
+class Digest(NamedTuple):
+    #: Rows of 256 bytes, and the number of features in each.
+    filters: np.ndarray
+    features: np.ndarray
+    #: Whether the features are grams, as the text has no other.
+    grams: bool
+    raw: bytes
+
+
+def _grams(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of GRAM bytes of texts, each text with marks before and behind it, and the number of the text each lies in. An empty text has none."""
+    hashes, numbers = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    mark = np.full(GRAM - 1, 256, np.uint64)
+    for k, raw in enumerate(raws):
+        if raw:
+            x = np.concatenate([mark, np.frombuffer(raw, np.uint8).astype(np.uint64), mark])
+            h = np.zeros(len(x) - GRAM + 1, np.uint64)
+            with np.errstate(over="ignore"):
+                for j in range(GRAM):
+                    h = h * np.uint64(257) + x[j : j + len(h)]
+                for _ in range(2):
+                    h = (h ^ (h >> np.uint64(29))) * _MIX[0]
+                    h ^= h >> np.uint64(32)
+            hashes.append(h)
+            numbers.append(np.full(len(h), k))
+    return np.concatenate(hashes), np.concatenate(numbers)
+
+
+def _filled(h: np.ndarray, numbers: np.ndarray, count: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Filters, and the number of features in each, of ``count`` texts, of hashes in the order of texts and of places in them."""
     # Equal features of a text count once, where they come first.
     if len(h):
-        order = np.lexsort((at, h, numbers))
+        order = np.lexsort((np.arange(len(h)), h, numbers))
         first = np.ones(len(h), bool)
         first[1:] = (h[order][1:] != h[order][:-1]) | (numbers[order][1:] != numbers[order][:-1])
         keep = np.sort(order[first])
         h, numbers = h[keep], numbers[keep]
-    cuts = np.searchsorted(numbers, np.arange(len(raws) + 1))
+    cuts = np.searchsorted(numbers, np.arange(count + 1))
     within = np.arange(len(h)) - cuts[numbers]
     filters_of = -(-np.diff(cuts) // PER_FILTER)
     base = np.cumsum(filters_of) - filters_of
     row = base[numbers] + within // PER_FILTER
-    count = int(filters_of.sum())
-    bits = np.zeros((count, BITS), bool)
+    total = int(filters_of.sum())
+    bits = np.zeros((total, BITS), bool)
     for k in range(HASHES):
         bits[row, ((h >> np.uint64(11 * k)) & np.uint64(BITS - 1)).astype(np.int64)] = True
     packed = np.packbits(bits, axis=1)
-    features = np.bincount(row, minlength=count) if count else np.zeros(0, np.int64)
+    features = np.bincount(row, minlength=total) if total else np.zeros(0, np.int64)
     return [(packed[a : a + m], features[a : a + m]) for a, m in zip(base, filters_of)]
 
 
+def gram_digest(raw: bytes) -> Digest:
+    """By runs of GRAM bytes, whatever other features the text has."""
+    return Digest(*_filled(*_grams([raw]), 1)[0], True, raw)
+
+
+def digests(raws: list[bytes]) -> list[Digest]:
+    """Of each text its filters and the number of features in each."""
+    sizes = np.array([len(r) for r in raws], np.int64)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    data = np.frombuffer(b"".join(raws), np.uint8)
+    full = sizes > 0
+    at, text = _features(data, starts[full], ends[full])
+    found = _filled(_hashes(data, at), np.flatnonzero(full)[text] if len(text) else text, len(raws))
+    without = [k for k, (f, _) in enumerate(found) if not len(f)]
+    grams = dict(zip(without, _filled(*_grams([raws[k] for k in without]), len(without))))
+    return [Digest(*grams.get(k, own), k in grams, raws[k]) for k, own in enumerate(found)]
+
+
 _ONES = np.array([bin(x).count("1") for x in range(256)], np.uint8)
 
 
 def likeness(a: Digest, b: Digest) -> float:
-    """0 to 1. Digests without features are alike (1) only when neither has any."""
-    (fa, na), (fb, nb) = a, b
+    """0 to 1; of texts of which one has only grams, by the grams of both. Of two empty texts 1, of an empty and another text 0."""
+    if a.grams != b.grams:
+        a, b = (x if x.grams else gram_digest(x.raw) for x in (a, b))
+    (fa, na), (fb, nb) = a[:2], b[:2]
     if not len(fa) or not len(fb):
         return float(len(fa) == len(fb))
+    if a.grams and a.raw == b.raw:
+        return 1.0
     if len(fa) > len(fb) or (len(fa) == len(fb) and na.sum() > nb.sum()):
         (fa, na), (fb, nb) = (fb, nb), (fa, na)
     # A filter of few features next to fuller ones says little; it counts by its number of features.
@@ -177,7 +223,7 @@ def likeness(a: Digest, b: Digest) -> float:
 
 def listed(d: Digest) -> str:
     """Features of each filter and the filters, in hexadecimal."""
-    return ",".join(f"{n:02x}:{f.tobytes().hex()}" for f, n in zip(*d))
+    return ",".join(f"{n:02x}:{f.tobytes().hex()}" for f, n in zip(d.filters, d.features))
 
 
 def edited(text: str, following: str) -> str:
@@ -226,7 +272,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """One row per input row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The next document is the one with the next greater ``doc_id``, ties by a hash of the text and then the text, null ids first; the last one's is the first. A single document follows itself. A null text is
-    the empty text. Texts too short for a feature have an empty fingerprint; two such are alike (1.0), and unlike any other (0.0). An empty table gives an empty result; other
+    the empty text. A text without a feature has the fingerprint of its grams, the empty text an empty one. An empty table gives an empty result; other
     columns are ignored. Equal texts have equal fingerprints.
 
     Texts are moved once, into ranges of ``doc_id``; each task walks its range in order. The last document of a range needs the first of the next one: these

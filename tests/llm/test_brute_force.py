@@ -488,3 +488,16 @@ def test_oracle(spark, name):
     key = lambda t: tuple((x is None, str(x)) for x in t)
     assert columns == sorted(at)
     assert sorted((tuple(r[c] for c in columns) for r in df.collect()), key=key) == sorted((tuple(r[at.index(c)] for c in columns) for r in want.fetchall()), key=key)
+
+
+def test_short_texts_have_fingerprints(spark):
+    short, other = "A short notice about the harbour.", "Nothing here is of that kind, 42."
+    long = " ".join(prose(random.Random(k), 9) for k in range(40)) + " " + short + " " + prose(random.Random(99), 200)
+    a, b, near, whole, empty, low = fingerprint.digests([t.encode() for t in (short, other, short.replace("notice", "report"), long, "", "a" * 500)])
+    listed = [fingerprint.listed(d) for d in (a, b, near, low)]
+    assert all(listed) and len(set(listed)) == 4 and fingerprint.listed(empty) == ""
+    assert fingerprint.likeness(a, a) == 1 and fingerprint.likeness(a, b) < 0.2 and 0.3 < fingerprint.likeness(a, near) < 1
+    assert fingerprint.likeness(a, whole) > 0.3 > 0.2 > fingerprint.likeness(b, whole)
+    assert fingerprint.likeness(empty, empty) == 1 and fingerprint.likeness(a, empty) == 0 == fingerprint.likeness(a, low)
+    rows = {r.doc_id: r for r in fingerprint.fingerprint(frame(spark, [(0, short), (1, other), (2, other)])).collect()}
+    assert rows[0].fingerprint == listed[0] and rows[0].near_next < 0.2 and rows[1].near_next == 1 and rows[0].near_edited < 1
