@@ -2,8 +2,8 @@
 
 A page is cut into text nodes, each with the path of block elements from the root to it. For each path the text length and punctuation of all its
 nodes are aggregated to ratios by node; the ratios are smoothed along the page, fused (their product, on a logarithmic scale), and
-paths over the threshold are content. The content's container is the deepest element that holds most of the text on
-content paths; all of its blocks are the article, save those of boilerplate elements (by tag, role, or a word of class or id) and lists of
+paths over the threshold are content: their blocks are the article, wherever they lie, save those of boilerplate elements (by tag, role, or a word of class or id). The
+content's containers, which are the deepest element that holds most of the text on content paths and the articles with any of it, add their other blocks, save lists of
 links. A page is worked on alone: no exchange.
 """
 
@@ -260,19 +260,21 @@ def main_text(page: str | None) -> str:
                 a = a.parent
     containers = [e for e, m in mass.items() if m >= MOST * whole and e.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "blockquote", "pre", "tr", "dd", "dt")]
     container = max(containers, key=lambda e: e.depth)
-    articles = [e for e in mass if e.tag == "article" and mass[e] >= 0.5 * whole]
-    if articles:
-        container = min(articles, key=lambda e: e.depth)
+    articles = [e for e in mass if e.tag == "article"]
+    main = [e for e in articles if mass[e] >= 0.5 * whole]
+    if main:
+        container = min(main, key=lambda e: e.depth)
+    within = {container, *articles}
     out: list[str] = []
     heading: str | None = None
     for p, (e, t, n) in zip(paths, kept):
         inside, a = False, e
         while a:
-            if a is container:
+            if a in within:
                 inside = True
                 break
             a = a.parent
-        if not inside:
+        if not inside and p not in content:
             if not out and e.tag in ("h1", "h2") and container.tag != "article":
                 heading = t
             elif not out:

@@ -501,3 +501,23 @@ def test_short_texts_have_fingerprints(spark):
     assert fingerprint.likeness(empty, empty) == 1 and fingerprint.likeness(a, empty) == 0 == fingerprint.likeness(a, low)
     rows = {r.doc_id: r for r in fingerprint.fingerprint(frame(spark, [(0, short), (1, other), (2, other)])).collect()}
     assert rows[0].fingerprint == listed[0] and rows[0].near_next < 0.2 and rows[1].near_next == 1 and rows[0].near_edited < 1
+
+
+SENTENCES = ["The harbour was quiet, and boats lay still.", "Nobody spoke, though everyone knew why.", "Later, the lights went on, one by one.", "It rained, as it had before, all night."]
+
+
+def paragraphs(first, count):
+    return [f"Part {k}: " + " ".join(SENTENCES[(k + j) % 4] for j in range(3)) for k in range(first, first + count)]
+
+
+def tagged(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+def test_html_text_keeps_content_outside_one_container():
+    a, b = paragraphs(0, 6), paragraphs(6, 4)
+    page = f"<body><div class=nav><a href=/>Home</a></div><article><h2>One</h2>{tagged(a)}</article><article><h2>Two</h2>{tagged(b)}</article></body>"
+    assert html_text.main_text(page) == "\n\n".join(["One", *a, "Two", *b])
+    c, d = paragraphs(0, 2), paragraphs(2, 12)
+    page = f"<body><div class=a>{tagged(c)}</div><div class=b>{tagged(d)}</div><footer><p>Legal text, and more.</p></footer></body>"
+    assert html_text.main_text(page) == "\n\n".join(c + d)
