@@ -35,20 +35,25 @@ _BAD_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adslot|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar|side|aside|widget\w*|footer|foot|masthead|topbar|toolbar|header|cookies?|consent|gdpr|notice|notification|popup|modal|overlay|newsletter|subscribe|signup|login|search\w*|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|reply|respond|pagination|pager|copyright|legal|skip|hidden|tags|tagcloud|outbrain|taboola|teaser)(?=$|[\s_-])",
     re.I,
 )
+#: Of these, no good word beside them makes up.
+_WORST_WORDS = re.compile(r"(?:^|[\s_-])(?:comments?|sidebar|cookies?|adverts?|ads?|related|newsletter)(?=$|[\s_-])", re.I)
 _GOOD_WORDS = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|story|entry|text|body)(?=$|[\s_-])", re.I)
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*+)>")
-_ATTRIBUTE = re.compile(r"""\s(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _PUNCTUATION = re.compile(r"[.,;:!?…¡¿。，！？、]")
 #: Share of the content paths' text that the container must hold.
 MOST = 0.85
+#: Share of the page's text from which on an element is no boilerplate for a part of a word of its class or id ("has-sidebar"); for a whole word of it, MOST.
+HALF = 0.5
 
 
 class Element:
-    __slots__ = ("tag", "label", "parent", "bad", "depth")
+    #: bad: boilerplate by tag, role or being hidden, with all that it holds; mark: where its class or id has a word of boilerplate, the share of the page's text from which on that doesn't count, else 0.
+    __slots__ = ("tag", "label", "parent", "bad", "mark", "depth")
 
-    def __init__(self, tag: str, label: str, parent: Element | None, bad: bool) -> None:
-        self.tag, self.label, self.parent, self.bad = tag, label, parent, bad
+    def __init__(self, tag: str, label: str, parent: Element | None, bad: bool, mark: float = 0.0) -> None:
+        self.tag, self.label, self.parent, self.bad, self.mark = tag, label, parent, bad, mark
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -64,11 +69,11 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
                 bad |= value.lower() in BAD_ROLES
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
                 bad = True
-    if names and tag not in ("html", "body", "article", "main") and _BAD_WORDS.search(names) and not (tag == "header" or _GOOD_WORDS.search(names)):
-        bad = True
-    elif names and re.search(r"(?:^|[\s_-])(?:comments?|sidebar|cookies?|adverts?|ads?|related|newsletter)(?=$|[\s_-])", names, re.I) and tag not in ("html", "body", "article", "main"):
-        bad = True
-    return Element(tag, label, parent, bad or parent.bad)
+    mark = 0.0
+    if names and tag not in ("html", "body", "article", "main"):
+        if (_BAD_WORDS.search(names) and not (tag == "header" or _GOOD_WORDS.search(names))) or _WORST_WORDS.search(names):
+            mark = MOST if any(_BAD_WORDS.fullmatch(x) for x in names.split()) else HALF
+    return Element(tag, label, parent, bad or parent.bad, mark)
 
 
 def _within(e: Element | None, tags: tuple[str, ...]) -> bool:
@@ -196,7 +201,7 @@ def blocks_of(page: str) -> list[tuple[Element, str, int]]:
             links += 1
         elif not m[3].endswith("/"):
             e = _element(tag, m[3], stack[-1])
-            if e.bad and not stack[-1].bad:
+            if (e.bad or e.mark) and not stack[-1].bad:
                 flush()
             stack.append(e)
         if len(stack) > 2000:  # markup that nests without end: what is deeper is taken as one level
@@ -236,10 +241,28 @@ def path_scores(nodes: list[tuple[str, str, int]]) -> dict[str, float]:
     return {p: total[p] / weight[p] for p in total}
 
 
+def _without_boilerplate(blocks: list[tuple[Element, str, int]]) -> list[tuple[Element, str, int]]:
+    """The blocks that aren't of a boilerplate element. A word of class or id makes none of an element with most of the page's text, nor of any if no text would be left."""
+    shown = [b for b in blocks if not b[0].bad]
+    mass: dict[Element, int] = defaultdict(int)
+    marked: list[list[Element]] = []
+    whole = 0
+    for e, t, n in shown:
+        whole += len(t) - n
+        own, a = [], e
+        while a:
+            if a.mark:
+                own.append(a)
+                mass[a] += len(t) - n
+            a = a.parent
+        marked.append(own)
+    kept = [b for b, own in zip(shown, marked) if all(0 < mass[a] >= a.mark * whole for a in own)]
+    return kept if kept or not whole else shown
+
+
 def main_text(page: str | None) -> str:
     """Blocks of the article, joined by an empty line; empty if there is none."""
-    blocks = [b for b in blocks_of(page or "")]
-    kept = [(e, t, n) for e, t, n in blocks if not e.bad]
+    kept = _without_boilerplate(blocks_of(page or ""))
     if not kept:
         return ""
     paths = [_path(e) for e, _, _ in kept]

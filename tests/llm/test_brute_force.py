@@ -521,3 +521,18 @@ def test_html_text_keeps_content_outside_one_container():
     c, d = paragraphs(0, 2), paragraphs(2, 12)
     page = f"<body><div class=a>{tagged(c)}</div><div class=b>{tagged(d)}</div><footer><p>Legal text, and more.</p></footer></body>"
     assert html_text.main_text(page) == "\n\n".join(c + d)
+
+
+@pytest.mark.parametrize("wrapper", ["div class='layout has-sidebar'", "div class='wrapper nav-open'", "div class='page header-fixed'", "div class='post has-comments'", "div title='The hidden valley'", "article data-title='The hidden valley'", "div data-x='a role=menu '"])
+def test_html_text_keeps_an_article_in_any_wrapper(wrapper):
+    a, b = paragraphs(0, 8), paragraphs(8, 2)
+    inside = f"{tagged(a)}<div class='comments'>{tagged(b)}</div><div class='sidebar'><p>Other news, and more of it.</p></div>"
+    page = f"<html><body><div class='nav'><a href=/>Home</a></div><{wrapper}>{inside}</{wrapper.split()[0]}><div class=footer><p>Legal text, in short.</p></div></body></html>"
+    assert html_text.main_text(page) == "\n\n".join(a)
+    assert html_text.main_text("<div hidden><p>Not shown, at all.</p></div><div class=nav><a href=/>Home</a></div>") == ""
+
+
+def test_html_text_of_marked_parts_only():
+    a = paragraphs(0, 6)
+    page = "".join(f"<div class='col sidebar-{k}'>{tagged(a[2 * k : 2 * k + 2])}</div>" for k in range(3))
+    assert html_text.main_text(page) == "\n\n".join(a)
