@@ -10,6 +10,7 @@ boundaries and types of all the entities of a neighbourhood are chosen jointly;
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import math
 import random
 import re
@@ -22,7 +23,7 @@ from corpuskit.llm.rows import documents, map_documents
 
 KINDS = ("email", "ip", "card", "phone")
 #: Bounded-entity decoding: a segment has at most so many characters, and neighbourhoods are cut so far from a trigger.
-MOST_CHARS, AROUND = 80, 40
+MOST_CHARS = 80
 #: A decoded segment is added when its posterior log-odds against "no entity" are at least this.
 LEAST_SCORE = 1.0
 
@@ -80,11 +81,12 @@ _TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|[^A-Za-z0-9]")
 _NUMBER = re.compile(r"[+(]?[0-9][0-9 ().\-/]*[0-9]")
 _HIDDEN_AT = re.compile(r" ?@ ?|\s?[\[({] ?at ?[\])}]\s?|\sat\s", re.I)
 _HIDDEN_DOT = r"(?:\.|\s?[\[({] ?dot ?[\])}]\s?|\sdot\s)"
-_HIDDEN_LEFT = re.compile(r"[A-Za-z0-9_%+-]+$", re.I)
+_HIDDEN_LEFT = re.compile(r"[A-Za-z0-9_%+-]+")  # of the reversed text
 _HIDDEN_LEFT_DOT = re.compile(_HIDDEN_DOT + "$", re.I)
 _HIDDEN_RIGHT = re.compile(r"[A-Za-z0-9-]+")
 _HIDDEN_RIGHT_DOT = re.compile(_HIDDEN_DOT + r"[A-Za-z0-9-]+", re.I)
-_IPV6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}){1,5}(?![0-9A-Fa-f:])")
+_GROUPS = r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}"
+_IPV6 = re.compile(rf"(?<![\w:])(?:{_GROUPS}::(?:{_GROUPS})?|::{_GROUPS})(?![\w:])|(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{{1,4}}:){{2,7}}(?::?[0-9A-Fa-f]{{1,4}}){{1,5}}(?![0-9A-Fa-f:])")
 _BEFORE = {
     "phone": re.compile(r"(?:tel|telephone|phone|call|mobile|cell|fax|telefon|tél|téléphone|teléfono|handy|mobil)[.: ]*$", re.I),
     "card": re.compile(r"(?:card|visa|mastercard|amex|credit|karte|carte|tarjeta)(?:\s*(?:number|no|nr|nummer|num))?[.:# ]*$", re.I),
@@ -103,16 +105,16 @@ def candidates(text: str, low: int, high: int) -> list[tuple[int, int, str]]:
     out: set[tuple[int, int, str]] = set()
     for m in _HIDDEN_AT.finditer(text, low, high):
         starts, a = [], m.start()
-        while len(starts) < 4 and (word := _HIDDEN_LEFT.search(text[max(0, a - AROUND) : a])):
+        while m.end() - a < MOST_CHARS and (word := _HIDDEN_LEFT.match(text[max(0, a - MOST_CHARS) : a][::-1])):
             a -= len(word[0])
             starts.append(a)
             dot = _HIDDEN_LEFT_DOT.search(text[max(0, a - 8) : a])
             if not dot:
                 break
             a -= len(dot[0])
-        right = _HIDDEN_RIGHT.match(text, m.end(), m.end() + AROUND)
+        right = _HIDDEN_RIGHT.match(text, m.end(), m.end() + MOST_CHARS)
         while starts and right:
-            right = _HIDDEN_RIGHT_DOT.match(text, right.end(), right.end() + AROUND)
+            right = _HIDDEN_RIGHT_DOT.match(text, right.end(), right.end() + MOST_CHARS)
             if right:
                 out |= {(a, right.end(), "hidden") for a in starts if right.end() - a <= MOST_CHARS}
     for m in _IPV6.finditer(text, low, high):
@@ -120,13 +122,24 @@ def candidates(text: str, low: int, high: int) -> list[tuple[int, int, str]]:
     for m in _NUMBER.finditer(text, low, high):
         groups = [t for t in re.finditer(r"[+(]?[0-9]+\)?", m[0])]
         for i in range(len(groups)):
-            for j in range(i, min(len(groups), i + 8)):
-                a, b = m.start() + groups[i].start(), m.start() + groups[j].end()
-                if b - a <= MOST_CHARS and sum(c.isdigit() for c in text[a:b]) >= 7:
+            a = m.start() + groups[i].start()
+            for j in range(i, len(groups)):
+                b = m.start() + groups[j].end()
+                if b - a > MOST_CHARS:
+                    break
+                if sum(c.isdigit() for c in text[a:b]) >= 7:
                     out.add((a, b, "number"))
     return sorted(out)
 
 
+def _is_ipv6(span: str) -> bool:
+    try:
+        ipaddress.IPv6Address(span)
+    except ValueError:
+        return False
+    return True
+
+
 def features(text: str, start: int, end: int, form: str) -> list[str]:
     """Names of the features of a segment, which are seen over the whole span and what touches it."""
     span, before = text[start:end], text[max(0, start - 24) : start]
@@ -146,6 +159,7 @@ def features(text: str, start: int, end: int, form: str) -> list[str]:
     if form == "ipv6":
         out.append(f"colons={min(8, span.count(':'))}")
         out.append("hex letters" if re.search("[A-Fa-f]", span) else "no hex letters")
+        out.append("an address" if _is_ipv6(span) else "no address")
         return out
     digits = _NOT_DIGIT.sub("", span)
     n = len(digits)
@@ -262,7 +276,7 @@ def _generated(seed: int, count: int) -> list[tuple[str, list[tuple[int, int, in
     def ip() -> str:
         if r.random() < 0.5:
             return ".".join(str(r.randint(0, 255)) for _ in range(4))
-        return ":".join("%x" % r.randint(0x10, 0xFFFF) for _ in range(8)) if r.random() < 0.6 else "2001:db8::" + "%x:%x" % (r.randint(1, 0xFFFF), r.randint(1, 0xFFFF))
+        return ":".join("%x" % r.randint(0x10, 0xFFFF) for _ in range(8)) if r.random() < 0.6 else r.choice(("2001:db8::%x:%x", "2001:db8::%x:%x", "fe80::%x", "%x::%x", "%x::", "::%x")).replace("%x", "{:x}").format(r.randint(1, 0xFFFF), r.randint(1, 0xFFFF))
 
     def none() -> str:
         return r.choice(
@@ -329,10 +343,10 @@ def trained(sentences: int = 1500, passes: int = 4, rate: float = 0.3, decay: fl
 
 
 def neighbourhoods(text: str) -> list[tuple[int, int]]:
-    """Disjoint stretches that hold every trigger and ``AROUND`` characters on both sides of it."""
+    """Disjoint stretches that hold every trigger and ``MOST_CHARS`` characters on both sides of it."""
     out: list[tuple[int, int]] = []
     for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+        a, b = max(0, m.start() - MOST_CHARS), min(len(text), m.end() + MOST_CHARS)
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], b)
         else:

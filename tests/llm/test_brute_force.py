@@ -536,3 +536,20 @@ def test_html_text_of_marked_parts_only():
     a = paragraphs(0, 6)
     page = "".join(f"<div class='col sidebar-{k}'>{tagged(a[2 * k : 2 * k + 2])}</div>" for k in range(3))
     assert html_text.main_text(page) == "\n\n".join(a)
+
+
+def test_pii_candidates_are_whole():
+    weights = pii.trained()
+    for text, span in (
+        ("The server address is fe80::1 today.", "fe80::1"),
+        ("ip: ::1 is local", "::1"),
+        ("the host 2001::1 answers", "2001::1"),
+        ("write to a.b.c.d.e.f [at] example [dot] org", "a.b.c.d.e.f [at] example [dot] org"),
+        ("averyverylongnameinthelocalpartofanaddressthatgoeson at example dot com", "averyverylongnameinthelocalpartofanaddressthatgoeson at example dot com"),
+        ("Phone: 0 3 0 1 2 3 4 5 6 7 8", "0 3 0 1 2 3 4 5 6 7 8"),
+    ):
+        assert span in [text[a:b] for a, b, _ in pii.candidates(text, 0, len(text))]
+        assert span in [text[a:b] for _, a, b in pii.added_spans(text, weights, pii.base_spans(text))]
+    dotted = "card 4.5.3.9.1.4.8.8.0.3.4.3.6.4.6.7"
+    assert dotted[5:] in [dotted[a:b] for a, b, _ in pii.candidates(dotted, 0, len(dotted))]
+    assert not pii.added_spans("std::vector at 12:30:45", weights, [])
