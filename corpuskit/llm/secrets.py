@@ -55,7 +55,7 @@ ADDED_RULES = (
     Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("pem", r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----"),
     Rule("temporary", r"(?<![A-Z0-9])ASIA[A-Z0-9]{16}(?![A-Z0-9])"),
-    Rule("url_login", r"://[^\s/:@]{1,64}:[^\s/:@]{3,64}@[A-Za-z0-9]"),
+    Rule("url_login", r"://[^\s/:@]++:[^\s/:@]{3,}+@[A-Za-z0-9]"),
 )
 RULES = BASE_RULES + ADDED_RULES
 #: Exact strings that a part of an expression may stand for, before it is cut into trigrams.

@@ -553,3 +553,10 @@ def test_pii_candidates_are_whole():
     dotted = "card 4.5.3.9.1.4.8.8.0.3.4.3.6.4.6.7"
     assert dotted[5:] in [dotted[a:b] for a, b, _ in pii.candidates(dotted, 0, len(dotted))]
     assert not pii.added_spans("std::vector at 12:30:45", weights, [])
+
+
+def test_long_logins_in_urls_are_found():
+    texts = [f"see https://{'u' * a}:{'Ab1.' * b}@host.example/x" for a, b in ((1, 1), (64, 16), (65, 2), (4, 17), (300, 2000))] + ["://" + "a" * 100_000, "://a:" + "b" * 100_000, "://a:bb@h"]
+    name = [r.kind for r in secrets.RULES].index("url_login")
+    found = [[(a, b) for a, k, b in spans if k == name] for spans in secrets.Scanner().spans(texts)]
+    assert found == [[(9, t.index("@") + 2)] for t in texts[:5]] + [[], [], []]
