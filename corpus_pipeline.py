@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpuskit.llm import exact_dedup, langid, mixing, ngram_join, packing
 from corpuskit.llm.rows import rows_of
 from corpuskit.storage import written
 
-#: Columns by which the mixing stage hands its order on.
-SLOT, AT = "mix_slot", "mix_at"
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model accepts; it learns from the labelled ones of them that aren't held out."""
@@ -29,13 +25,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their places, SLOT and AT, in the order in which their sources' target weights interleave them. What is written keeps no order of rows, so the next stage restores it."""
-    return mixing.mix(docs, rows=True).select("row.*", F.col("slot").alias(SLOT), F.col("at").alias(AT))
+    """All documents, in the order in which their sources' target weights interleave them."""
+    return mixing.mixed_rows(docs, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, with their token ids; each piece is a sequence, and ``sequence_id`` follows the mixed order."""
-    return packing.pack(mixing.in_order(docs, int(spark.conf.get("spark.sql.shuffle.partitions")), SLOT, AT))
+    """The pieces of all documents, with their token ids; each piece is a sequence, and ``sequence_id`` follows the mixed order. Tables that are read again keep no order, so it is restored: the schedule depends on the rows alone."""
+    return packing.pack(mixed(spark, docs, sf_dir))
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_duplicates), ("ngram_join", near_duplicates), ("mixing", mixed), ("packing", packed)]

@@ -144,10 +144,3 @@ def mixed_rows(docs: DataFrame, partitions: int, **options) -> DataFrame:
     slots = sizes.agg(F.sum(F.expr(f"(n + {block_chars - 1}) div {block_chars}L"))).first()[0] or 1
     part = F.expr(f"cast(slot * {partitions}L div {slots}L as int)")
     return whole.repartitionById(partitions, part).sortWithinPartitions("slot", "at").select("row.*")
-
-
-def in_order(rows: DataFrame, partitions: int, slot_col: str = "slot", at_col: str = "at") -> DataFrame:
-    """The rows in the mixed order, that of the partitions and of the rows within them, by the places that ``mix`` gave them, wherever they lie now. Each slot's text is in one partition."""
-    slots = (rows.agg(F.max(slot_col)).first()[0] or 0) + 1
-    part = F.expr(f"cast({slot_col} * {partitions}L div {slots}L as int)")
-    return rows.repartitionById(partitions, part).sortWithinPartitions(slot_col, at_col)

@@ -59,6 +59,7 @@ def test_run(spark, tmp_path):
 def test_sequences_follow_the_mixed_order(spark, tmp_path, monkeypatch):
     """sequence_id of run()'s own rows follows the schedule, through what is written between the stages."""
     monkeypatch.setattr(mixing.mix, "__defaults__", tuple(300 if x == mixing.BLOCK_CHARS else x for x in mixing.mix.__defaults__))
+    monkeypatch.setattr(mixing, "BLOCK_CHARS", 300)
     rng = random.Random(16)
     rows = [(prose(rng, 1 << rng.randint(3, 7)), "xx", "src0" if k % 2 else "src3") for k in range(400)]
     rows.sort(key=lambda r: len(r[0]))  # partitions of unequal size
