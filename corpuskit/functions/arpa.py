@@ -5,9 +5,8 @@ from __future__ import annotations
 import gzip
 import math
 import os
-from collections import Counter, defaultdict
+from collections import Counter, OrderedDict, defaultdict
 from collections.abc import Iterator, Mapping, Sequence
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -102,26 +101,38 @@ def estimate(sentences: Sequence[str], order: int = 2, discount: float = 0.5) ->
 
 
 def models_in(folder: str) -> dict[str, str]:
-    """Path by language of ``<language>.arpa`` (also ``.arpa.gz``) and ``<language>.binary``; of two, the binary. A stem that is no tag is left out."""
+    """Path by language of ``<language>.arpa`` (also ``.arpa.gz``) and ``<language>.binary``; of several, the first of these, as a compiled model can't be read. A stem that is no tag is left out."""
     import re
 
     from corpuskit.functions.tags import WELL_FORMED
 
     found: dict[str, str] = {}
-    for name in sorted(os.listdir(folder)):
-        m = re.fullmatch(r"(.+)\.(arpa|arpa\.gz|binary)", name)
-        if m and re.match(WELL_FORMED, m[1]) and (m[1] not in found or m[2] == "binary"):
-            found[m[1]] = os.path.join(folder, name)
+    for kind in ("arpa", "arpa.gz", "binary"):
+        for name in sorted(os.listdir(folder)):
+            m = re.fullmatch(rf"(.+)\.{re.escape(kind)}", name)
+            if m and re.match(WELL_FORMED, m[1]):
+                found.setdefault(m[1], os.path.join(folder, name))
     return found
 
 
-@lru_cache(maxsize=8)
+#: n-grams that a worker keeps in all, in the models used last; a larger model is kept alone.
+KEPT_GRAMS = 8_000_000
+_loaded: OrderedDict[str, LanguageModel] = OrderedDict()
+
+
 def load(path: str) -> LanguageModel:
-    """Read once a worker. Only the text form can be read here."""
+    """Read once a worker, as long as its models have no more than KEPT_GRAMS n-grams. Only the text form can be read here."""
+    if path in _loaded:
+        _loaded.move_to_end(path)
+        return _loaded[path]
     if path.endswith(".binary"):
         raise BadInput(f"{path}: compiled models can't be read; keep the .arpa file beside it")
     with gzip.open(path, "rt", encoding="utf-8") if path.endswith(".gz") else open(path, encoding="utf-8") as f:
-        return LanguageModel.parse(f.read())
+        model = LanguageModel.parse(f.read())
+    while _loaded and sum(len(m.grams) for m in _loaded.values()) + len(model.grams) > KEPT_GRAMS:
+        _loaded.popitem(last=False)
+    _loaded[path] = model
+    return model
 
 
 def perplexity(text: Column, lang: Column, models: Mapping[str, str | LanguageModel]) -> Column:
@@ -131,6 +142,13 @@ def perplexity(text: Column, lang: Column, models: Mapping[str, str | LanguageMo
     @F.pandas_udf("float")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, langs in batches:
-            yield pd.Series([(load(m) if isinstance(m, str) else m).perplexity(t) if t is not None and (m := known.get(g)) else None for t, g in zip(texts, langs)], dtype="float32")
+            out = pd.Series([None] * len(texts), dtype="float32")
+            for g, at in langs.groupby(langs).indices.items():  # a batch asks for each language's model once
+                if m := known.get(g):
+                    model = load(m) if isinstance(m, str) else m
+                    for k in at:
+                        t = texts.iloc[k]
+                        out.iloc[k] = model.perplexity(t) if t is not None else None
+            yield out
 
     return run(F.replace(text, F.lit("\n"), F.lit(" ")), lang)

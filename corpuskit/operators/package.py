@@ -22,9 +22,9 @@ def file_checksums(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def distinct_texts(docs: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
-    """Of rows with one text, by its digest, the first by ``order``."""
-    whole = F.struct("*")
-    return docs.groupBy(sha256(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("__sha")).agg(F.min_by(whole, F.col(order)).alias("row")).select("row.*")
+    """Of rows with one text, by its digest, the first by ``order``, nulls last. A null text is the empty text."""
+    whole, place = F.struct("*"), F.struct(F.col(order).isNull(), F.col(order))
+    return docs.groupBy(sha256(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("__sha")).agg(F.min_by(whole, place).alias("row")).select("row.*")
 
 
 def write_parts(docs: DataFrame, folder: str, rows: int, codec: str = "gzip") -> None:

@@ -18,6 +18,9 @@ from pyspark.sql.types import StructType
 from corpuskit.schema import RECORD, BadInput, CorpusError
 
 _NUMBER = re.compile(r"([0-9]+)(?:\.|$)")
+_LENGTH = re.compile(r"[0-9]{1,18}")
+#: Bytes of a body asked for at once: a header may claim any length, but memory is taken only for what is there.
+AT_ONCE = 1 << 22
 
 
 def shard_number(path: str) -> int:
@@ -28,6 +31,14 @@ def shard_number(path: str) -> int:
     return int(m[1])
 
 
+def numbered(path: str) -> int | None:
+    """``shard_number``, or None where the name has none."""
+    try:
+        return shard_number(path)
+    except BadInput:
+        return None
+
+
 def shard_number_of(name: Column) -> Column:
     """The same of a column of file names; null where there is none."""
     return F.regexp_extract(name, r"^([0-9]+)(?:\.|$)", 1).try_cast("long")
@@ -44,6 +55,14 @@ def shards(path: str) -> list[str]:
     return found
 
 
+def _body(stream: BinaryIO, length: int) -> bytes:
+    parts = []
+    while length and (part := stream.read(min(length, AT_ONCE))):
+        parts.append(part)
+        length -= len(part)
+    return b"".join(parts)
+
+
 def records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
     """(headers with lower-cased names, body, error). A record that can't be parsed is one with an error; reading goes on at the next that begins."""
     line = stream.readline()
@@ -73,13 +92,13 @@ def records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes, str | Non
             last = name.strip().decode("utf-8", "replace").lower()
             headers[last] = value.strip().decode("utf-8", "replace")
         length = headers.get("content-length", "")
-        if not length.isdigit():
+        if not _LENGTH.fullmatch(length):
             yield headers, b"", error or "no content length"
             line = stream.readline()
             while line and not line.startswith(b"WARC/"):
                 line = stream.readline()
             continue
-        body = stream.read(int(length))
+        body = _body(stream, int(length))
         if len(body) < int(length):
             error = error or "the body ends early"
         yield headers, body, error
