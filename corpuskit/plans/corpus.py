@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.functions.arpa import perplexity
@@ -14,7 +14,8 @@ from corpuskit.operators import annotate, identify, multilingual
 from corpuskit.operators.filters import FILTERS, exactly_noisy_tiny, noisy_and_tiny, readable
 from corpuskit.operators.rebuild import rebuilt
 from corpuskit.operators.transforms import trimmed
-from corpuskit.sources.wet import read_wet
+from corpuskit.schema import BadInput
+from corpuskit.sources.wet import numbered, read_wet, shards
 from corpuskit.sources.writers import read_index, write_documents, write_index
 from corpuskit.storage import written
 
@@ -41,7 +42,7 @@ def documents(
     named = identify.document_identification(identify.bins(F.col("ids"), identify.line_bytes(F.col("rows"))), multilingual.strict_lines(F.col("ids")), least_confidence)
     rows = bind(rows, "identification", named, lambda x: x.isNotNull())
     dropped = noisy_and_tiny if drop_noisy_tiny else exactly_noisy_tiny
-    rows = bind(rows, "quality_warnings", annotate.warnings(F.col("content")), lambda x: ~dropped(x))
+    rows = bind(rows, "quality_warnings", annotate.warnings(F.col("content"), rows=F.col("rows")), lambda x: ~dropped(x))
     rows = rows.withColumn("tlsh", tlsh_hash(F.col("content")) if with_tlsh else F.lit(None).cast("string"))
     rows = rows.withColumn("uri", F.element_at("warc_headers", "warc-target-uri"))
     rows = annotate.categories(rows, "uri", blocklist) if blocklist is not None else rows.withColumn("categories", F.lit(None).cast("array<string>"))
@@ -51,18 +52,34 @@ def documents(
     return rows.select(label.alias("lang"), "content", "warc_headers", metadata.alias("metadata"), "shard_id", "record_id", F.col("kept.start").alias("line_start"), F.col("kept.end").alias("line_end"), "loc_in_shard")
 
 
-def run(spark: SparkSession, source: str, target: str, **options) -> None:
-    """Shards in ``source`` to ``<target>/documents`` and ``<target>/rebuild``. The documents are made once and written from that table twice."""
-    docs = written(documents(read_wet(spark, source), **options), "documents")
+def run(spark: SparkSession, source: str, target: str, **options) -> dict[str, int]:
+    """Shards in ``source`` to ``<target>/documents``, ``<target>/rebuild`` and ``<target>/counts`` (documents of each shard). The documents are made once and written from that table.
+
+    What it gives back is counted on the way, without a further job: records read, those that couldn't be, and documents.
+    """
+    seen, kept = Observation("records"), Observation("documents")
+    records = read_wet(spark, source).observe(seen, F.count(F.lit(1)).alias("records"), F.count("error").alias("unreadable"))
+    docs = written(documents(records, **options).observe(kept, F.count(F.lit(1)).alias("documents")), "documents")
     write_documents(docs, f"{target}/documents")
     write_index(docs, f"{target}/rebuild")
+    docs.groupBy("shard_id").agg(F.count(F.lit(1)).alias("documents")).write.parquet(f"{target}/counts")
+    return {**seen.get, **kept.get}
 
 
-def run_rebuild(spark: SparkSession, index: str, source: str, target: str, lang: str | None = None) -> None:
-    """The documents of an index (of one language of it) out of the shards again, to ``target``. Only shards that the index names are opened."""
+def run_rebuild(spark: SparkSession, index: str, source: str, target: str, lang: str | None = None) -> DataFrame:
+    """The documents of an index (of one language of it) out of the shards again, to ``target``. Only shards that the index names are opened; one that isn't there is an error.
+
+    Returned is what went wrong: (shard_id, lang, wanted, documents, unreadable) of each list of the index from which fewer documents came than it names.
+    """
     found = read_index(spark, index)
     found = found.where(F.col("lang") == lang) if lang else found
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     named = [r["shard_id"] for r in found.select("shard_id").distinct().collect()]  # one number for each file
-    docs = rebuilt(found, read_wet(spark, source).where(F.col("shard_id").isin(named)))
+    if missing := sorted(set(named) - {n for n in map(numbered, shards(source)) if n is not None}):
+        raise BadInput(f"{source}: {len(missing)} of the {len(named)} shards that the index names aren't there, the first {', '.join(map(str, missing[:10]))}")
+    docs = written(rebuilt(found, read_wet(spark, source).where(F.col("shard_id").isin(named))), "rebuilt")
     write_documents(docs.where("error is null"), target)
+    wanted = found.groupBy("shard_id", "lang").agg(F.sum(F.size("rebuild_info")).alias("wanted"))
+    came = docs.groupBy("shard_id", "lang").agg(F.count(F.when(F.col("error").isNull(), 1)).alias("documents"), F.count("error").alias("unreadable"))
+    none = F.lit(0).cast("long")
+    return wanted.join(came, ["shard_id", "lang"], "left").select("shard_id", "lang", "wanted", F.coalesce("documents", none).alias("documents"), F.coalesce("unreadable", none).alias("unreadable")).where("documents < wanted")

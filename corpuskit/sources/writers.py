@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import shutil
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 
 from corpuskit.operators.rebuild import index
-from corpuskit.schema import DOCUMENT, SHARD_RESULT
+from corpuskit.schema import DOCUMENT, SHARD_RESULT, BadInput
 from corpuskit.sources import avro
 
 #: Rows of a file, so that one language's files stay of a size however large its part is.
 FILE_ROWS = 1_000_000
+#: Rows of an Avro file, each one shard's list, that a task holds at once.
+AVRO_ROWS = 16
 
 
 def write_documents(docs: DataFrame, folder: str) -> None:
@@ -32,10 +39,10 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """(lang, shard_id, rebuild_info) of a written index; one Avro file is read by its name."""
-    if path.endswith(".avro"):
-        lang = os.path.basename(path).removesuffix(".avro")
-        return spark.createDataFrame(list(avro.read(path)), SHARD_RESULT).select(F.lit(lang).alias("lang"), "shard_id", "rebuild_info")
+    """(lang, shard_id, rebuild_info) of a written index; or of one ``<lang>.avro`` file, or a folder of them, each read by one task, row by row."""
+    files = [path] if path.endswith(".avro") else sorted(e.path for e in os.scandir(path) if e.name.endswith(".avro")) if os.path.isdir(path) else []
+    if files:
+        return _avro_rows(spark, files)
     return spark.read.parquet(path).select("lang", "shard_id", "rebuild_info")
 
 
@@ -55,14 +62,35 @@ def export_jsonl(folder: str, target: str) -> list[str]:
     return out
 
 
+def _avro_rows(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The driver only knows the files' names."""
+    schema = StructType([StructField("lang", StringType()), *SHARD_RESULT.fields])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                lang = os.path.basename(path).removesuffix(".avro")
+                for rows in itertools.batched(avro.read(path), AVRO_ROWS):
+                    yield pa.RecordBatch.from_pylist([{"lang": lang, **r} for r in rows], arrow)
+
+    for f in files:
+        if not os.path.isfile(f):
+            raise BadInput(f"{f} is no file")
+    return spark.createDataFrame([(f,) for f in files], "path string").repartition(len(files), "path").mapInArrow(run, schema)
+
+
 def export_avro(spark: SparkSession, folder: str, target: str) -> list[str]:
-    """One file ``<lang>.avro`` for each language of a written index; rows stream through the driver one by one."""
+    """One file ``<lang>.avro`` for each language of a written index, written by the task that has the language's rows, one by one; ``target`` is a folder that every executor can write."""
     os.makedirs(target, exist_ok=True)
-    out = []
-    found = spark.read.parquet(folder)
-    for (lang,) in found.select("lang").distinct().orderBy("lang").collect():
-        path = os.path.join(target, f"{lang}.avro")
-        rows = found.where(F.col("lang") == lang).select("shard_id", "rebuild_info").toLocalIterator()
-        avro.write(path, (r.asDict(recursive=True) for r in rows))
-        out.append(path)
-    return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for k in range(b.num_rows) for r in b.slice(k, 1).to_pylist())
+        for lang, own in itertools.groupby(rows, lambda r: r["lang"]):
+            path = os.path.join(target, f"{lang}.avro")
+            avro.write(path, ({"shard_id": r["shard_id"], "rebuild_info": r["rebuild_info"]} for r in own))
+            yield pa.RecordBatch.from_pylist([{"path": path}])
+
+    found = spark.read.parquet(folder).select(F.col("lang").cast("string").alias("lang"), "shard_id", "rebuild_info")
+    files = found.repartition("lang").sortWithinPartitions("lang", "shard_id").mapInArrow(run, "path string")
+    return sorted(r.path for r in files.collect())
