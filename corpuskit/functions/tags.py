@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 PREFIX = "__label__"
 
-#: ISO 639-3 codes by the shorter ISO 639-1 code that stands for them, as one string: two letters, then three.
+#: ISO 639-1 codes, sorted, each with the ISO 639-3 code that it stands for.
 _SHORTER = """
-    zuzul yoyor yiyid xhxho wowol vivie uzuzb ururd ukukr uguig twtwi trtur tstso tntsn toton titir ththa tgtgk tetel tatam tytah svswe susun
-    ssssw scsrd sqsqi esspa stsot sosom sdsnd snsna smsmo slslv skslk sisin sasan sgsag rurus rnrun roron rmroh pspus ptpor plpol papan
-    ososs omorm ococi nynya nbnob nnnno nlnld nvnav mymya msmsa mimri mnmon mtmlt mgmlg mkmkd mrmar mlmal lglug lbltz ltlit lnlin lilim lvlav
-    lolao kukur kokor kgkon kykir rwkin kikik kmkhm kkkaz kakat knkan klkal jajpn jvjav itita isisl idind igibo hyhye huhun hrhrv hihin heheb
-    hahau hthat guguj gngrn glglg gagle gdgla frfra fifin fjfij fafas fofao eeewe eueus etest eoepo eneng elell dzdzo dedeu dadan cycym cvchv
-    ceche csces cacat bgbul bsbos bobod bibis bnben bebel bmbam babak asasm amamh akaka afafr ababk tktuk
+    ab=abk af=afr ak=aka am=amh as=asm ba=bak be=bel bg=bul bi=bis bm=bam bn=ben bo=bod bs=bos ca=cat ce=che cs=ces cv=chv cy=cym da=dan de=deu dz=dzo
+    ee=ewe el=ell en=eng eo=epo es=spa et=est eu=eus fa=fas fi=fin fj=fij fo=fao fr=fra ga=gle gd=gla gl=glg gn=grn gu=guj ha=hau he=heb hi=hin hr=hrv
+    ht=hat hu=hun hy=hye id=ind ig=ibo is=isl it=ita ja=jpn jv=jav ka=kat kg=kon ki=kik kk=kaz kl=kal km=khm kn=kan ko=kor ku=kur ky=kir lb=ltz lg=lug
+    li=lim ln=lin lo=lao lt=lit lv=lav mg=mlg mi=mri mk=mkd ml=mal mn=mon mr=mar ms=msa mt=mlt my=mya nb=nob nl=nld nn=nno nv=nav ny=nya oc=oci om=orm
+    os=oss pa=pan pl=pol ps=pus pt=por rm=roh rn=run ro=ron ru=rus rw=kin sa=san sc=srd sd=snd sg=sag si=sin sk=slk sl=slv sm=smo sn=sna so=som sq=sqi
+    ss=ssw st=sot su=sun sv=swe ta=tam te=tel tg=tgk th=tha ti=tir tk=tuk tn=tsn to=ton tr=tur ts=tso tw=twi ty=tah ug=uig uk=ukr ur=urd uz=uzb vi=vie
+    wo=wol xh=xho yi=yid yo=yor zu=zul
 """
-REPLACED = {x[2:]: x[:2] for x in _SHORTER.split()}
+REPLACED = {long: short for short, long in (x.split("=") for x in _SHORTER.split())}
 REPLACED |= {"que": "qu", "als": "gsw", "eml": "x-eml", "prs": "fa-AF", "tgl": "fil"}
 #: Codes that are only replaced together with one of these scripts.
 REPLACED |= {f"{long}_{script}": f"{short}-{script}" for long, short, scripts in (("ara", "ar", "Latn Arab"), ("kas", "ks", "Deva Arab"), ("kau", "kr", "Latn Arab"), ("zho", "zh", "Hant Hans"), ("srp", "sr", "Cyrl"), ("tat", "tt", "Cyrl")) for script in scripts.split()}

@@ -29,6 +29,8 @@ _T = np.array(
 )
 _LIST = _T.tolist()
 BUCKETS, LEAST_BYTES = 256, 50
+#: Bytes counted at once; cells of the table of texts that go along in step; texts from which on that is faster than byte by byte.
+AT_ONCE, MOST_CELLS, FEW = 1 << 20, 1 << 23, 24
 #: (salt, how far back the two other bytes of each triple lie)
 _TRIPLES = ((2, 1, 2), (3, 1, 3), (5, 2, 3), (7, 2, 4), (11, 1, 4), (13, 3, 4))
 
@@ -43,30 +45,69 @@ def _length_code(n: int) -> int:
     return int(code) & 255
 
 
-def _checksum(w: np.ndarray) -> list[int]:
-    """Three bytes, each folded over all windows; the first's salt is 0, another's is the one before it at that window."""
-    last, before = w[4:], w[3:-1]
+def _checksums(texts: list[np.ndarray]) -> np.ndarray:
+    """Of each text three bytes, each folded over all windows; the first's salt is 0, another's is the one before it at that window.
+
+    All texts of a group go along in step, the longest first: one place of all of them at a time. A place that few texts have goes byte by byte.
+    """
+    out = np.zeros((len(texts), 3), np.uint8)
+    order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
+    at = 0
+    while at < len(order):
+        end, widest = at + 1, len(texts[order[at]])
+        while end < len(order) and (end - at + 1) * widest <= MOST_CELLS:
+            end += 1
+        own = [texts[k] for k in order[at:end]]
+        sizes = np.array([len(w) for w in own])
+        # Where at least FEW texts go on.
+        common = int(sizes[FEW - 1]) if len(own) >= FEW else 0
+        cells = np.zeros((common, len(own)), np.uint8)
+        for k, w in enumerate(own):
+            cells[: min(common, len(w)), k] = w[:common]
+        values = np.zeros((3, len(own)), np.uint8)
+        active = np.searchsorted(-sizes, -np.arange(common), side="left")  # texts with more than so many bytes
+        first = _T[0]
+        for p in range(4, common):
+            n = active[p]
+            last, before = cells[p, :n], cells[p - 1, :n]
+            salt = first
+            for v in values:
+                salt = v[:n] = _T[_T[_T[salt ^ last] ^ before] ^ v[:n]]
+                salt = _T[salt]
+        for k, w in enumerate(own):
+            if len(w) > common:
+                values[:, k] = _folded(w, max(4, common), values[:, k].tolist())
+        out[order[at:end]] = values.T
+        at = end
+    return out
+
+
+def _folded(w: np.ndarray, start: int, values: list[int]) -> list[int]:
+    """The three bytes of one text, from place ``start`` on."""
+    last, before = w[start:], w[start - 1 : -1]
     out = []
     salts = np.zeros(len(last), np.uint8)
-    for _ in range(3):
+    for value in values:
         step = _T[_T[_T[salts] ^ last] ^ before]
-        value, values = 0, bytearray(len(step))
+        folded = bytearray(len(step))
         for k, x in enumerate(step.tobytes()):
-            value = values[k] = _LIST[x ^ value]
-        salts = np.frombuffer(bytes(values), np.uint8)
+            value = folded[k] = _LIST[x ^ value]
+        salts = np.frombuffer(bytes(folded), np.uint8)
         out.append(value)
     return out
 
 
-def tlsh(data: bytes) -> str | None:
-    """The hash, or None for data that are too short or too uniform."""
-    if len(data) < LEAST_BYTES:
-        return None
-    w = np.frombuffer(data, np.uint8)
+def _body(w: np.ndarray) -> tuple[bytes, int] | None:
+    """The buckets' codes and the quartiles' ratios."""
     size = len(w) - 4
     counts = np.zeros(BUCKETS, np.int64)
-    for salt, j, k in _TRIPLES:
-        counts += np.bincount(_T[_T[_T[_T[salt] ^ w[4:]] ^ w[4 - j : 4 - j + size]] ^ w[4 - k : 4 - k + size]], minlength=BUCKETS)
+    for at in range(0, size, AT_ONCE):
+        n = min(AT_ONCE, size - at)
+        x, a, b = (w[at + 4 - d : at + 4 - d + n] for d in (0, 1, 2))
+        c, d = (w[at + 4 - d : at + 4 - d + n] for d in (3, 4))
+        back = {1: a, 2: b, 3: c, 4: d}
+        for salt, j, k in _TRIPLES:
+            counts += np.bincount(_T[_T[_T[_T[salt] ^ x] ^ back[j]] ^ back[k]], minlength=BUCKETS)
     if (counts > 0).sum() <= BUCKETS // 2:
         return None
     q1, q2, q3 = (int(x) for x in np.sort(counts)[[BUCKETS // 4 - 1, BUCKETS // 2 - 1, 3 * BUCKETS // 4 - 1]])
@@ -74,15 +115,31 @@ def tlsh(data: bytes) -> str | None:
         return None
     levels = (counts > q1).astype(int) + (counts > q2) + (counts > q3)
     code = (levels.reshape(-1, 4) << np.array([0, 2, 4, 6])).sum(axis=1)
+    return bytes(int(x) for x in code[::-1]), (q1 * 100 // q3 % 16) | (q2 * 100 // q3 % 16) << 4
+
+
+def hashes(datas: list[bytes]) -> list[str | None]:
+    """Of each the hash, or None where they are too short or too uniform."""
+    texts = [np.frombuffer(d, np.uint8) for d in datas]
+    bodies = [_body(w) if len(w) >= LEAST_BYTES else None for w in texts]
+    good = [k for k, b in enumerate(bodies) if b]
+    out: list[str | None] = [None] * len(datas)
     swapped = lambda b: (b & 15) << 4 | b >> 4
-    ratios = (q1 * 100 // q3 % 16) | (q2 * 100 // q3 % 16) << 4
-    head = [swapped(c) for c in _checksum(w)] + [swapped(_length_code(len(data))), swapped(ratios)]
-    return "T1" + bytes([*head, *(int(x) for x in code[::-1])]).hex().upper()
+    for k, sums in zip(good, _checksums([texts[k] for k in good]).tolist()):
+        code, ratios = bodies[k]
+        head = [swapped(c) for c in sums] + [swapped(_length_code(len(datas[k]))), swapped(ratios)]
+        out[k] = "T1" + (bytes(head) + code).hex().upper()
+    return out
+
+
+def tlsh(data: bytes) -> str | None:
+    """The hash, or None for data that are too short or too uniform."""
+    return hashes([data])[0]
 
 
 @F.pandas_udf(StringType())
 def tlsh_hash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """``tlsh:`` and the hash of each text's UTF-8 bytes, or null."""
     for texts in batches:
-        found = [tlsh(t.encode("utf-8", "surrogatepass")) if t else None for t in texts]
-        yield pd.Series([f"tlsh:{h}" if h else None for h in found], dtype=object)
+        raws = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        yield pd.Series([f"tlsh:{h}" if h else None for h in hashes(raws)], dtype=object)

@@ -8,44 +8,49 @@ from urllib.parse import urlsplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.functions.lines import lines
+from corpuskit.functions.lines import let, lines
 
 #: Rows of a blocklist that may be broadcast; a longer one is joined by a shuffle.
 BROADCAST_ROWS = 1 << 18
 
 
-def tiny(text: Column, least: int = 5) -> list[Column]:
-    """Fewer lines than ``least``."""
-    return [F.when(F.size(lines(text)) < least, "tiny")]
+def tiny(text: Column, least: int = 5, rows: Column | None = None) -> list[Column]:
+    """Fewer lines than ``least``. ``rows`` is the text's array of lines, where it is at hand."""
+    return [F.when(F.size(lines(text) if rows is None else rows) < least, "tiny")]
 
 
-def short_sentences(text: Column, length: int = 100, share: float = 0.5) -> list[Column]:
+def short_sentences(text: Column, length: int = 100, share: float = 0.5, rows: Column | None = None) -> list[Column]:
     """More lines of at most ``length`` code points than the whole part of ``share`` of them."""
-    rows = lines(text)
+    rows = lines(text) if rows is None else rows
     return [F.when(F.size(F.filter(rows, lambda x: F.length(x) <= length)) > F.floor(F.size(rows) * F.lit(share)), "short_sentences")]
 
 
-def header_footer(text: Column, part: float = 0.2, share: float = 0.5, length: int = 100) -> list[Column]:
+def header_footer(text: Column, part: float = 0.2, share: float = 0.5, length: int = 100, rows: Column | None = None) -> list[Column]:
     """``header`` where more than ``share`` of the first ``part`` of lines are shorter than ``length`` bytes, ``footer`` for the last."""
-    rows = lines(text)
+    rows = lines(text) if rows is None else rows
     n = F.floor(F.size(rows) * F.lit(part)).cast("int")
     most = F.floor(n * F.lit(share))
     short = lambda r: F.size(F.filter(r, lambda x: F.octet_length(x) < length))
     return [F.when(short(F.slice(rows, 1, n)) > most, "header"), F.when(short(F.slice(rows, F.size(rows) - n + 1, n)) > most, "footer")]
 
 
-def noisy(text: Column, share: float = 0.5) -> list[Column]:
+def noisy(text: Column, share: float = 0.5, rows: Column | None = None) -> list[Column]:
     """More code points that are neither letters nor marks than the whole part of ``share`` of all."""
     return [F.when(F.length(F.regexp_replace(text, r"[\p{L}\p{M}]", "")) > F.floor(F.length(text) * F.lit(share)), "noisy")]
 
 
 #: The usual chain.
-CHAIN: tuple[Callable[[Column], list[Column]], ...] = (tiny, short_sentences, header_footer, noisy)
+CHAIN: tuple[Callable[..., list[Column]], ...] = (tiny, short_sentences, header_footer, noisy)
 
 
-def warnings(text: Column, chain: Sequence[Callable[[Column], list[Column]]] = CHAIN) -> Column:
-    found = F.filter(F.array(*[c for f in chain for c in f(text)]), lambda x: x.isNotNull())
-    return F.when(F.size(found) > 0, found)
+def warnings(text: Column, chain: Sequence[Callable[..., list[Column]]] = CHAIN, rows: Column | None = None) -> Column:
+    """The list of a chain's warnings, or null. The text is split into lines once for all of the chain, or not at all where ``rows`` has them."""
+
+    def chained(r: Column) -> Column:
+        return F.filter(F.array(*[c for f in chain for c in f(text, rows=r)]), lambda x: x.isNotNull())
+
+    found = let(lines(text), chained) if rows is None else chained(rows)
+    return let(found, lambda x: F.when(F.size(x) > 0, x))
 
 
 def host(url: Column) -> Column:
