@@ -74,7 +74,7 @@ v AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY b
 
 def _pairs() -> str:
     return f"""WITH {_D}, {_identified('d')},
-p AS (SELECT doc_id, label, prob, b FROM i WHERE doc_id + 1 IN (SELECT doc_id FROM documents)
+p AS (SELECT doc_id, label, prob, b FROM i
       UNION ALL SELECT doc_id - 1, label, prob, b FROM i WHERE doc_id - 1 IN (SELECT doc_id FROM documents)),
 k AS (SELECT doc_id, label, count(*) AS c, sum(b)::BIGINT AS bytes FROM p GROUP BY doc_id, label),
 g AS (SELECT doc_id, count(*) AS n, sum(b)::BIGINT AS total, count(*) FILTER (prob >= 0.8::FLOAT) AS sure, count(DISTINCT label) AS langs,

@@ -76,7 +76,7 @@ def flt_pfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def flt_noisy_tiny_intent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chain = (annotate.tiny, lambda t: annotate.noisy(t, 0.22))
+    chain = (annotate.tiny, lambda t, rows: annotate.noisy(t, 0.22))
     found = annotate.warnings(F.col("text"), chain)
     return _docs(spark, sf_dir).select("doc_id", filters.noisy_and_tiny(found).alias("both"), filters.exactly_noisy_tiny(found).alias("exactly"))
 
@@ -115,8 +115,9 @@ def ann_noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def ann_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bind(_docs(spark, sf_dir), "doc", transforms.trimmed(F.col("text")), lambda d: d["kept"].isNotNull() & filters.LongShare()(lines(d["content"]))).select("doc_id", "doc.*")
-    return rows.select("doc_id", F.col("kept.start").alias("line_start"), F.col("kept.end").alias("line_end"), F.octet_length("content").cast("long").alias("n_bytes"), F.array_join(annotate.warnings(F.col("content")), ",").alias("warnings"))
+    docs = bind(_docs(spark, sf_dir), "doc", transforms.trimmed(F.col("text")), lambda d: d["kept"].isNotNull()).select("doc_id", "doc.*")
+    rows = bind(docs, "rows", lines(F.col("content")), filters.LongShare())
+    return rows.select("doc_id", F.col("kept.start").alias("line_start"), F.col("kept.end").alias("line_end"), F.octet_length("content").cast("long").alias("n_bytes"), F.array_join(annotate.warnings(F.col("content"), rows=F.col("rows")), ",").alias("warnings"))
 
 
 @_query
@@ -171,11 +172,12 @@ def lid_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of each document and the next one together, as documents in up to two languages."""
+    """Lines of each document and the next one, if there is one, together, as documents in up to two languages."""
     ids, sizes = identify.identified_lines(F.col("text"))
     rows = _docs(spark, sf_dir).select("doc_id", ids.alias("ids"), sizes.alias("sizes"))
     after = rows.select((F.col("doc_id") - 1).alias("doc_id"), F.col("ids").alias("ids_b"), F.col("sizes").alias("sizes_b"))
-    return rows.join(after, "doc_id").select("doc_id", F.concat("ids", "ids_b").alias("ids"), F.concat("sizes", "sizes_b").alias("sizes"))
+    both = lambda a, b: F.when(F.col(b).isNull(), F.col(a)).otherwise(F.concat(a, b)).alias(a)
+    return rows.join(after, "doc_id", "left").select("doc_id", both("ids", "ids_b"), both("sizes", "sizes_b"))
 
 
 @_query

@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuskit.functions import arpa, tags
+from corpuskit.functions import tlsh as hashing
 from corpuskit.functions.lines import lines
 from corpuskit.functions.tlsh import tlsh, tlsh_hash
 from corpuskit.functions.words import break_words
 from corpuskit.operators import annotate, filters, identify, multilingual, package, rebuild, transforms, zipf
-from corpuskit.schema import IncompleteLocation
+from corpuskit.schema import BadInput, IncompleteLocation
 
 LONG, SHORT = "x" * 150, "y" * 20
 
@@ -244,9 +245,57 @@ def test_perplexity(spark):
 
 
 def test_models_in(tmp_path):
-    for n in ("en.arpa", "fr.arpa", "fr.binary", "not a tag.arpa", "readme.txt"):
+    for n in ("en.arpa", "fr.arpa", "fr.binary", "de.binary", "not a tag.arpa", "readme.txt"):
         (tmp_path / n).write_text("")
-    assert {k: v.rsplit("/", 1)[1] for k, v in arpa.models_in(str(tmp_path)).items()} == {"en": "en.arpa", "fr": "fr.binary"}
+    assert {k: v.rsplit("/", 1)[1] for k, v in arpa.models_in(str(tmp_path)).items()} == {"en": "en.arpa", "fr": "fr.arpa", "de": "de.binary"}
+
+
+def test_a_readable_model_beside_a_compiled_one(spark, tmp_path, monkeypatch):
+    texts = {"en": "the cat", "fr": "le chat", "de": "der hund"}
+    for lang, t in texts.items():
+        (tmp_path / f"{lang}.arpa").write_text(arpa.estimate([t]))
+        (tmp_path / f"{lang}.binary").write_bytes(b"\0")
+    models = arpa.models_in(str(tmp_path))
+    rows = spark.createDataFrame([(lang, texts[lang]) for lang in list(texts) * 4] + [("xx", "a"), ("en", None)], "lang string, text string")
+    got = [r[0] for r in rows.coalesce(1).select(arpa.perplexity(F.col("text"), F.col("lang"), models)).collect()]
+    assert got[:3] * 4 == got[:12] and all(got[:12]) and got[12:] == [None, None]
+    monkeypatch.setattr(arpa, "KEPT_GRAMS", 0)  # one at a time
+    assert [len(arpa._loaded) for m in models.values() if arpa.load(m)] == [1, 1, 1]
+    with pytest.raises(BadInput):
+        arpa.load(str(tmp_path / "en.binary"))
+
+
+def test_hashes_in_step_are_those_of_each_text(monkeypatch):
+    rng = random.Random(5)
+    datas = [bytes(rng.choices(range(32, 127), k=rng.choice((0, 49, 50, 70, 400, 3000)))) for _ in range(90)]
+    want = [tlsh(d) for d in datas]
+    assert sum(w is None for w in want) < 60 and hashing.hashes(datas) == want
+    for name, value in (("MOST_CELLS", 5000), ("AT_ONCE", 100), ("FEW", 2)):
+        monkeypatch.setattr(hashing, name, value)
+        assert hashing.hashes(datas) == want
+
+
+def test_fasttext_with_a_double(spark, tmp_path):
+    """A stand-in package: the label is a line's first word, the probability falls with its length."""
+    (tmp_path / "fasttext.py").write_text(
+        "class M:\n"
+        "    def predict(self, rows, k, threshold):\n"
+        "        every = [[(f'__label__{w}', 1 / (1 + j)) for j, w in enumerate(r.split()) if 1 / (1 + j) >= threshold][:k] for r in rows]\n"
+        "        return [[a for a, _ in e] for e in every], [[p for _, p in e] for e in every]\n"
+        "def load_model(path):\n"
+        "    assert path == 'model.bin'\n"
+        "    return M()\n"
+    )
+    spark.sparkContext.addPyFile(str(tmp_path / "fasttext.py"))
+    rows = F.array(F.lit("eng x"), F.lit(""), F.lit("\0no-such-tag- b"))
+    one = identify.FastTextIdentifier.build("model.bin", 1, 0.8)
+    (r,) = spark.range(1).select(one.identify(rows).alias("raw"), identify.tagged(one.identify(rows)).alias("t")).collect()
+    assert [(i.label, i.prob) if i else None for i in r.raw] == [("__label__eng", 1.0), None, ("__label__no-such-tag-", 1.0)] and not r.t.good
+    top = identify.FastTextIdentifier("model.bin", 2, 0.3).identify_top(F.array(F.lit("eng fra deu"), F.lit("bad!tag spa")))
+    (r,) = spark.range(1).select(top.alias("top")).collect()
+    assert [[(i.label, i.prob) for i in x] for x in r.top] == [[("en", 1.0), ("fr", 0.5)], [("es", 0.5)]]
+    with pytest.raises(ValueError):
+        identify.FastTextIdentifier.build("model.bin")
 
 
 def test_package(spark, tmp_path):
@@ -262,3 +311,5 @@ def test_package(spark, tmp_path):
     assert {r.file: r.sha256 for r in package.file_checksums(spark, f"{target}/en").collect()}["en.txt.gz"] == sums[0].split()[0]
     rows = spark.createDataFrame([(3, "a"), (1, "a"), (2, None), (4, "")], "doc_id long, text string")
     assert sorted(r.doc_id for r in package.distinct_texts(rows).collect()) == [1, 2]
+    rows = spark.createDataFrame([(None, "a"), (None, "a"), (None, "b"), (5, "b")], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.text) for r in package.distinct_texts(rows).collect()), key=str) == [(5, "b"), (None, "a")]

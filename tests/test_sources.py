@@ -70,6 +70,15 @@ def test_wet(spark, shard_dir):
         wet.read_wet(spark, shard_dir, mode="FAILFAST").count()
 
 
+@pytest.mark.parametrize("length", ["\u00b2", "9" * 17, "9" * 40, "-1", ""])
+def test_wet_odd_lengths(spark, tmp_path, length):
+    bad = f"WARC/1.0\r\nContent-Length: {length}\r\n\r\n".encode()
+    for n, raw in ((1, record("a", "x") + bad), (2, bad)):
+        (tmp_path / f"{n}.txt").write_bytes(raw)
+    got = wet.read_wet(spark, str(tmp_path), compression="none").collect()
+    assert len(got) == 3 and [bool(r.error) for r in sorted(got, key=lambda r: (r.shard_id, r.loc_in_shard))] == [False, True, True]
+
+
 def test_wet_broken_archive(spark, tmp_path):
     whole = gzip.compress(record("a", "x" * 1000)) + gzip.compress(record("b", "y" * 1000))
     (tmp_path / "1.txt.gz").write_bytes(whole[:-12])
@@ -90,13 +99,15 @@ def test_round_trip(spark, shard_dir, tmp_path):
     blocklist = read_blocklist(spark, str(tmp_path / "lists"))
     assert sorted(tuple(r) for r in blocklist.collect()) == [("domain", "a.example.org", "adult"), ("url", "b.example.org/x", "adult")]
     target = str(tmp_path / "corpus")
-    corpus.run(spark, shard_dir, target, blocklist=blocklist)
+    counts = corpus.run(spark, shard_dir, target, blocklist=blocklist)
+    assert counts == {"records": 15, "unreadable": wet.read_wet(spark, shard_dir).where("error is not null").count(), "documents": 12}
+    assert sum(r.documents for r in spark.read.parquet(f"{target}/counts").collect()) == 12
     docs = writers.read_documents(spark, f"{target}/documents")
     rows = docs.select("lang", "content", "metadata.*").collect()
     assert len(rows) == 12 and {r.lang for r in rows} == {"de", "en"}
     assert all(r.content == "\n".join(prose(0 if r.lang == "en" else 1).split("\n")[1:-1]).replace("number 0", r.content[r.content.find("number") :].split(" went")[0]).replace("Nummer 1", r.content[r.content.find("Nummer") :].split(" sind")[0]) for r in rows)
     assert all(r.categories == ["adult"] and r.tlsh.startswith("tlsh:") and len(r.sentence_identifications) == 6 for r in rows)
-    corpus.run_rebuild(spark, f"{target}/rebuild", shard_dir, f"{target}/again")
+    assert corpus.run_rebuild(spark, f"{target}/rebuild", shard_dir, f"{target}/again").count() == 0
     key = lambda d: sorted((r.lang, r.content, r.metadata.tlsh) for r in d.collect())
     assert key(writers.read_documents(spark, f"{target}/again")) == key(docs)
     # the same through files of one language each
@@ -108,6 +119,18 @@ def test_round_trip(spark, shard_dir, tmp_path):
     corpus.run_rebuild(spark, exported[1], shard_dir, f"{target}/english")
     assert key(writers.read_documents(spark, f"{target}/english")) == [k for k in key(docs) if k[0] == "en"]
     assert sum(len(r.rebuild_info) for r in writers.read_index(spark, exported[0]).collect()) == 6
+    assert sorted((r.lang, r.shard_id) for r in writers.read_index(spark, str(tmp_path / "avro")).collect()) == sorted((r.lang, r.shard_id) for r in writers.read_index(spark, f"{target}/rebuild").collect())
+    # a shard that isn't there is an error, one that ends early is reported
+    part = tmp_path / "part"
+    part.mkdir()
+    shards = wet.shards(shard_dir)
+    for p in shards[1:]:
+        (part / p.rsplit("/", 1)[1]).write_bytes(open(p, "rb").read())
+    with pytest.raises(BadInput, match="aren't there"):
+        corpus.run_rebuild(spark, f"{target}/rebuild", str(part), f"{target}/none")
+    (part / shards[0].rsplit("/", 1)[1]).write_bytes(gzip.compress(gzip.open(shards[0]).read()[:400]))
+    wrong = corpus.run_rebuild(spark, f"{target}/rebuild", str(part), f"{target}/early").collect()
+    assert {r.shard_id for r in wrong} == {wet.shard_number(shards[0])} and all(r.documents < r.wanted for r in wrong)
 
 
 def test_plan_ignores_partitions(spark, shard_dir):
