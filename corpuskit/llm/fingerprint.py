@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.rows import documents
+from corpuskit.llm.rows import documents, slices
 from corpuskit.storage import written
 
 WINDOW, RUN, POINTS = 64, 64, 16
@@ -295,8 +295,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
         held: tuple[int | None, str] | None = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, 1):
                 ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
                 if held is None:
                     yield edge(ids[0], texts[0], None)

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskit.llm.rows import cuts
+
 #: Labelled rows that a model learns from, spread evenly over the languages.
 SAMPLE_ROWS = 2000
 BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 16, 16, 8, 0.5
@@ -267,7 +269,7 @@ def predict(model: Model, text: Column, spark) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = shared.value
         for texts in batches:
-            parts = [own.predict(list(texts.iloc[at : at + 256])) for at in range(0, len(texts), 256)]
+            parts = [own.predict(list(texts.iloc[a:b])) for a, b in cuts([len(t) if t else 0 for t in texts])]
             yield pd.DataFrame([r for part in parts for r in part], columns=["lang_pred", "score", "accepted"])
 
     return run(text)
@@ -276,7 +278,7 @@ def predict(model: Model, text: Column, spark) -> Column:
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score, accepted.
 
-    A null text, or one without a letter, is ``und`` with score 0 and isn't accepted. Where no row is labelled every text is. Equal texts get equal predictions;
+    A null text, or one without a letter, is ``und`` with score 0 and isn't accepted. Where no row is labelled every text is. Equal texts get equal predictions; a very long text is averaged in stretches, whole;
     neither id, source nor label takes part in them. An empty table gives an empty result; other columns are ignored, whatever their names.
     """
     model = model or fit(docs, id_col, text_col, lang_col)

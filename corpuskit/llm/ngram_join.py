@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.rows import SLICE, row_key
+from corpuskit.llm.rows import row_key, slices
 from corpuskit.storage import discard, kept_at, written
 
 NGRAM, THRESHOLD, TOLERANCE = 3, 0.5, 1e-6
@@ -186,8 +186,7 @@ def _featured(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in slices(batch, 2):
                 keys, counts, sigs, every = [], [], [], []
                 for text in part.column(2).to_pylist():
                     s = shingles(text, n)
@@ -339,8 +338,7 @@ def _verified(pairs: DataFrame, feats: DataFrame, keyed: DataFrame, n: int, thre
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in slices(batch, 1):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingles(t, n).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["uid", "s"])
 
     sets = written(texts.mapInArrow(cut, "uid long, s binary"), "shingles")

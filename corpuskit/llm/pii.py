@@ -378,7 +378,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone (of base spans), base_sha256, spans, found (array of kind, start, end, base).
 
     Spans are in code points of the whole text, the end exclusive. A null or empty text has no span (empty ``spans`` and ``found``, the digest
-    of the empty string). Rows may repeat; an empty table gives an empty result; other columns are ignored. The weights are
+    of the empty string). A very long text is scanned whole; what is held beside it is one neighbourhood. Rows may repeat; an empty table gives an empty result; other columns are ignored. The weights are
     learned once on the driver, from generated sentences only, and their number is that of the features.
     """
     weights = trained()

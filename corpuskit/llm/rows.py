@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows handled at once within an Arrow batch, so that what a worker holds is bounded by a few texts' size and not by the batch.
-SLICE = 256
+#: Rows, and bytes of their texts, handled at once within an Arrow batch; a longer text is handled alone. What a worker holds is bounded by these and the longest text, not by the batch.
+SLICE, SLICE_BYTES = 256, 1 << 22
+
+
+def cuts(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
+    """Stretches (from, to) of rows with texts of these sizes, none of more than SLICE rows, nor, unless it is one row, of more than SLICE_BYTES."""
+    at = held = 0
+    for k, n in enumerate(sizes):
+        if k > at and (k - at >= SLICE or held + n > SLICE_BYTES):
+            yield at, k
+            at, held = k, 0
+        held += n
+    if at < len(sizes):
+        yield at, len(sizes)
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in stretches that ``cuts`` gives for the texts of a column."""
+    for a, b in cuts(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+        yield batch.slice(a, b - a)
 
 
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
@@ -27,8 +46,7 @@ def map_documents(docs: DataFrame, schema: str, start: Callable[[], Callable[[li
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in slices(batch, 1):
                 columns = f(part.column(0).to_pylist(), part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(columns, target)], schema=target)
 

@@ -60,6 +60,8 @@ ADDED_RULES = (
 RULES = BASE_RULES + ADDED_RULES
 #: Exact strings that a part of an expression may stand for, before it is cut into trigrams.
 MOST_STRINGS = 32
+#: Bytes whose trigrams are looked up at once.
+AT_ONCE = 1 << 20
 
 
 def _lower(s: str) -> str:
@@ -172,13 +174,17 @@ class Segment:
         # Three zero bytes stand between texts; a trigram across them holds a zero byte and occurs in no query.
         buffer = np.frombuffer(b"\0\0\0".join(raw).lower() + b"\0\0\0", np.uint8)
         starts = np.cumsum([0] + [len(r) + 3 for r in raw[:-1]]) if raw else np.zeros(0, np.int64)
-        code = buffer[:-2].astype(np.int32) << 16
-        code |= buffer[1:-1].astype(np.int32) << 8
-        code |= buffer[2:]
-        which = wanted[code]
-        at = np.flatnonzero(which)
-        doc = np.searchsorted(starts, at, side="right") - 1
-        pairs = np.unique(which[at].astype(np.int64) * max(1, self.count) + doc)
+        found = [np.zeros(0, np.int64)]
+        for begin in range(0, len(buffer) - 2, AT_ONCE):  # stretches that overlap by two bytes, so no trigram is cut
+            part = buffer[begin : begin + AT_ONCE + 2]
+            code = part[:-2].astype(np.int32) << 16
+            code |= part[1:-1].astype(np.int32) << 8
+            code |= part[2:]
+            which = wanted[code]
+            at = np.flatnonzero(which)
+            doc = np.searchsorted(starts, at + begin, side="right") - 1
+            found.append(np.unique(which[at].astype(np.int64) * max(1, self.count) + doc))
+        pairs = np.unique(np.concatenate(found))
         gram, doc = np.divmod(pairs, max(1, self.count))
         cuts = np.searchsorted(gram, np.arange(1, len(number) + 2))
         self.postings = [doc[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
@@ -226,7 +232,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, found (array of kind, start, end).
 
     Spans are in code points of the whole text, the end exclusive. A null or empty text has no span (empty ``spans``, empty ``found``,
-    the digest of the empty string). Rows may repeat; an empty table gives an empty result; other columns are ignored. ``rules``
+    the digest of the empty string). A very long text is indexed in stretches and verified whole. Rows may repeat; an empty table gives an empty result; other columns are ignored. ``rules``
     begin with the three base rules.
     """
     kinds = [r.kind for r in rules]

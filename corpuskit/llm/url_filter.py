@@ -86,7 +86,7 @@ def filter_urls(
     """One row per input row: page_id, host, path, rule, verdict, n_strict, n_soft.
 
     A null URL, or one without ``://``, has an empty host and path and fits no rule; its terms are still counted (none for
-    null). Repeated rows are judged alike and each is returned; an empty table gives an empty result; columns beside the two
+    null). A URL of any length is judged whole. Repeated rows are judged alike and each is returned; an empty table gives an empty result; columns beside the two
     named are ignored, whatever their names.
     """
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
