@@ -3,8 +3,9 @@
 The subwords of a text are the runs of 2 to 4 code points within its lower-cased words, a word's border counting as one more code point. Each hashes to one of
 ``BUCKETS`` embeddings; the mean over all subwords of the whole text goes through a linear layer and a softmax. The model is trained here by stochastic gradient
 descent in numpy, on a bounded sample of labelled rows (``SAMPLE_ROWS``); every row is predicted. A part of the sample takes no part in the descent: on it,
-whole and thinned out, the softmax's temperature is fitted, the share of familiar subwords that texts in a learnt language have at least, and the score
-below which a text is rejected. The score is the softmax's probability, lowered in proportion where the share of familiar subwords is less than that.
+whole and thinned out, the softmax's temperature is fitted, and the share of familiar subwords that texts in a learnt language have at least. The score is the softmax's
+probability, lowered in proportion where the share of familiar subwords is less than that. A text is rejected below the score that tells these rows best from texts in
+no learnt language: sampled rows whose letters are exchanged, vowels among vowels and the others among themselves, which leaves the look of a language but none of its words.
 
 What the driver holds is the sample's features and the model, both bounded; prediction is one scan with no exchange.
 """
@@ -12,13 +13,14 @@ What the driver holds is the sample's features and the model, both bounded; pred
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.llm.rows import cuts
@@ -28,8 +30,17 @@ SAMPLE_ROWS = 2000
 BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 16, 16, 8, 0.5
 #: One labelled row in so many calibrates instead of training.
 CALIBRATION_PART = 4
-#: Share of the rightly predicted calibration rows that may be rejected, and the most that the rejecting score can be.
-REJECTED_SHARE, MOST_REJECTING = 0.002, 0.5
+#: One sampled row in so many gives a text in no language.
+FOREIGN_PART = 3
+#: The most different subwords of a sampled row that are learnt from, drawn at random where it has more.
+SAMPLE_SUBWORDS = 1 << 13
+#: Share of the rightly predicted calibration rows that may be rejected, of whole ones and of ones thinned out to as few as eight subwords, and the share of foreign texts that is enough to reject.
+REJECTED_SHARE, REJECTED_THINNED, FOREIGN_SHARE = 0.002, 0.05, 0.995
+#: The most that the rejecting score can be.
+MOST_REJECTING = 0.6
+_VOWELS = frozenset("aeiouyàáâãäåæèéêëìíîïòóôõöøœùúûüýÿ")
+#: Languages whose shares may be broadcast; more are joined by a shuffle.
+BROADCAST_LANGUAGES = 1 << 14
 #: Code points worked on at once.
 AT_ONCE = 1 << 18
 UNKNOWN = "und"
@@ -91,6 +102,17 @@ def features(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]
     return found.astype(np.int32), counts[found].astype(np.int32)
 
 
+def foreign(text: str) -> str:
+    """The lower-cased text with its letters exchanged, in one of many ways that the text itself decides."""
+    text = text.lower()
+    rng = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    letters = sorted(c for c in set(text) if c.isalpha())
+    table: dict[int, str] = {}
+    for own in ([c for c in letters if c in _VOWELS], [c for c in letters if c not in _VOWELS]):
+        table |= {ord(a): own[k] for a, k in zip(own, rng.permutation(len(own)))}
+    return text.translate(table)
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -101,6 +123,8 @@ class Model:
     temperature: float
     familiar: float
     rejecting: float
+    #: On the calibration rows, the mean difference between probability and truth over ten classes of probability.
+    unreliable: float = 0.0
 
     def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each text the logits, the share of familiar subwords, and whether it has a letter."""
@@ -165,8 +189,8 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray]], buckets: int = BUCKETS, seed: int = 7) -> Model:
-    """A model of (language, buckets, counts) rows. Without rows it knows no language and rejects every text."""
+def train(rows: list[tuple[str, np.ndarray, np.ndarray]], buckets: int = BUCKETS, seed: int = 7, strangers: Sequence[tuple[np.ndarray, np.ndarray]] = ()) -> Model:
+    """A model of (language, buckets, counts) rows; ``strangers`` are (buckets, counts) of texts in no learnt language. Without rows it knows no language and rejects every text."""
     languages = sorted({lang for lang, _, _ in rows})
     wide = len(languages)
     if not wide:
@@ -221,13 +245,27 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], buckets: int = BUCKETS
         model.temperature = float(grid[int(np.argmin(loss))])
         right = z.argmax(axis=1) == truth
         model.familiar = max(_lowest(share[right]), 1e-6)
-        model.rejecting = min(MOST_REJECTING, _lowest((_softmax(z / model.temperature).max(axis=1) * np.minimum(1, share / model.familiar))[right]))
+        p = _softmax(z / model.temperature).max(axis=1)
+        model.unreliable = _unreliability(p, right)
+        score = p * np.minimum(1, share / model.familiar)
+        whole = np.arange(len(both)) < len(held)
+        model.rejecting = min(MOST_REJECTING, _lowest(score[right & whole]), _lowest(score[right & ~whole], REJECTED_THINNED))
+        if strangers := [(b, c) for b, c in strangers if len(b)]:
+            z = np.array([(c / c.sum()) @ (padded[b] @ w) + bias for b, c in strangers])
+            other = _softmax(z / model.temperature).max(axis=1) * np.minimum(1, np.array([c @ known[b] / c.sum() for b, c in strangers]) / model.familiar)
+            model.rejecting = min(model.rejecting, float(np.quantile(other, FOREIGN_SHARE)))
     return model
 
 
-def _lowest(values: np.ndarray) -> float:
-    """The value that REJECTED_SHARE of them fall short of; a tenth under the least where they are too few to tell."""
-    at = int(REJECTED_SHARE * (len(values) + 1))
+def _unreliability(p: np.ndarray, right: np.ndarray) -> float:
+    """The mean difference between probability and share of right ones over ten classes of probability, by their sizes."""
+    at = np.minimum((p * 10).astype(int), 9)
+    return float(sum(abs(p[at == k].mean() - right[at == k].mean()) * (at == k).mean() for k in np.unique(at)))
+
+
+def _lowest(values: np.ndarray, part: float = REJECTED_SHARE) -> float:
+    """The value that ``part`` of them fall short of; a tenth under the least where they are too few to tell."""
+    at = int(part * (len(values) + 1))
     return float(np.sort(values)[at - 1]) if at else 0.9 * float(values.min()) if len(values) else 0.0
 
 
@@ -237,28 +275,37 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS) -> Model:
-    """Train on at most ``sample_rows`` of the rows that have a language, a text and an id that isn't held out; the sample is spread evenly over the languages and chosen by a hash of the id."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("h"))
-    rows = rows.where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
+    """Train on at most ``sample_rows`` of the rows that have a language, a text and an id that isn't held out; the sample is spread evenly over the languages and chosen by a hash of id and text, rows that repeat both counting once.
+
+    The driver gets the sample's features, at most SAMPLE_SUBWORDS of a row, and one row for each language.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and doc_id is not null and text is not null").where(~held_out(F.col("doc_id")))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return train([], buckets)
     each = max(1, sample_rows // len(counts))
-    cut = F.lit(0)
-    for lang, n in counts.items():
-        cut = F.when(F.col("lang") == lang, F.lit(int(min(1.0, 1.5 * (each + 4) / n) * (1 << 30)))).otherwise(cut)
+    parts = spark.createDataFrame([(lang, int(min(1.0, 1.5 * (each + 4) / n) * (1 << 30))) for lang, n in counts.items()], "lang string, part long")
+
+    def thinned(b: np.ndarray, c: np.ndarray, h: int) -> tuple[bytes, bytes]:
+        if len(b) > SAMPLE_SUBWORDS:
+            some = np.sort(np.random.default_rng(h).choice(len(b), SAMPLE_SUBWORDS, replace=False))
+            b, c = b[some], c[some]
+        return b.tobytes(), c.tobytes()
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            pairs = [features(t, buckets) for t in batch["text"]]
-            yield pd.DataFrame({"lang": batch["lang"], "h": batch["h"], "b": [b.tobytes() for b, _ in pairs], "c": [c.tobytes() for _, c in pairs]})
-
-    sample = rows.where(F.col("h") < cut).where("text is not null").select("lang", "h", "text").mapInPandas(found, "lang string, h long, b binary, c binary")
-    by: dict[str, list] = {lang: [] for lang in counts}
-    for r in sample.collect():
-        by[r["lang"]].append((r["h"], bytes(r["b"]), bytes(r["c"])))
-    chosen = sorted((h, lang, b, c) for lang, own in by.items() for h, b, c in sorted(own)[:each])
-    return train([(lang, np.frombuffer(b, np.int32), np.frombuffer(c, np.int32)) for _, lang, b, c in chosen], buckets)
+            own = [thinned(*features(t, buckets), h) for t, h in zip(batch["text"], batch["h"])]
+            other = [thinned(*features(foreign(t), buckets), h) if h % FOREIGN_PART == 0 else (b"", b"") for t, h in zip(batch["text"], batch["h"])]
+            yield pd.DataFrame({"lang": batch["lang"], "h": batch["h"], "b": [b for b, _ in own], "c": [c for _, c in own], "fb": [b for b, _ in other], "fc": [c for _, c in other]})
+
+    keyed = rows.withColumn("h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)))
+    few = keyed.join(F.broadcast(parts) if len(counts) <= BROADCAST_LANGUAGES else parts, "lang").where(F.col("h") < F.col("part")).dropDuplicates(["lang", "h"])
+    sample = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= each).select("lang", "h", "text")
+    kept = sample.mapInPandas(found, "lang string, h long, b binary, c binary, fb binary, fc binary").collect()
+    chosen = sorted((r["h"], r["lang"], bytes(r["b"]), bytes(r["c"]), bytes(r["fb"]), bytes(r["fc"])) for r in kept)
+    of = lambda b, c: (np.frombuffer(b, np.int32), np.frombuffer(c, np.int32))
+    return train([(lang, *of(b, c)) for _, lang, b, c, _, _ in chosen], buckets, strangers=[of(b, c) for *_, b, c in chosen if b])
 
 
 def predict(model: Model, text: Column, spark) -> Column:

@@ -219,7 +219,7 @@ def brute_links(sets, threshold):
     return [near[s] for s in sets]
 
 
-@pytest.mark.parametrize("block", [3, 512])
+@pytest.mark.parametrize("block", [3, 20, 512])
 def test_ngram_join_counts_every_link(spark, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     monkeypatch.setattr(ngram_join, "TILE_SETS", block)
@@ -584,3 +584,47 @@ def test_long_texts_are_indexed_in_stretches(monkeypatch):
     for size in (1, 2, 7, 50):
         monkeypatch.setattr(secrets, "AT_ONCE", size)
         assert secrets.Scanner().spans(texts) == whole
+
+
+def test_mixing_plans_many_sources():
+    rng = random.Random(22)
+    blocks, weights = [rng.randint(0, 60) for _ in range(300)], [rng.randint(1, 9) for _ in range(300)]
+    seen = set()
+    plan = mixing.phases(blocks, weights)
+    for p in plan:
+        for j in range(p["first"], p["until"]):
+            k = j - p["first"]
+            slot = p["base"] + k // p["weight"] * p["period"] + p["slots"][k % p["weight"]]
+            assert slot not in seen
+            seen.add(slot)
+    assert len(seen) == sum(blocks) and len(plan) < 300 * 80
+    assert 3000 <= len(mixing.phases([3] * 3000, [1000] * 3000)) <= 3000 * mixing.ENDED_PART
+    with pytest.raises(ValueError):
+        mixing.phases([1, 1], [1, mixing.MOST_SLOTS])
+
+
+def test_repeated_rows_are_mixed_without_a_hot_chunk(spark):
+    rows = [(None, "a", "same text")] * 500 + [(k, "b", "x" * k) for k in range(50)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), {}, block_chars=100).toPandas()
+    for s, n in (("a", 500), ("b", 50)):
+        own = got[got.source == s].sort_values(["block", "at"])
+        assert len(own) == n and (own.block * 100 + own["at"]).tolist() == [0, *own.n_chars.clip(lower=1).cumsum().tolist()[:-1]]
+
+
+@needs_data
+def test_rejection_is_calibrated(spark):
+    docs = spark.read.parquet(f"{DATA.parent}/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    assert model.unreliable < 0.05
+    rows = docs.where(langid.held_out(F.col("doc_id"))).collect()
+    own, other = model.predict([r.text for r in rows]), model.predict([langid.foreign(r.text) for r in rows])
+    assert np.mean([p[2] for p in own]) >= 0.98 and np.mean([p[2] for p in other]) <= 0.2
+    foreign = [
+        "De kat zat op de mat en keek naar buiten, terwijl de regen zachtjes tegen het raam tikte en de wind door de straten waaide.",
+        "Il gatto era seduto sul tappeto e guardava fuori dalla finestra mentre la pioggia cadeva piano sulla strada deserta.",
+        "Katten satt på mattan och tittade ut genom fönstret medan regnet föll sakta mot gatan.",
+        "lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua",
+        "xkqz vwpt zzkj qwrt plmk xxcv bnmq zxcw kjhg",
+    ]
+    assert not any(p[2] for p in model.predict(foreign))
+    assert langid.foreign("Abba, é!") == langid.foreign("abba, é!") and len(langid.foreign("Déjà vu")) == 7
