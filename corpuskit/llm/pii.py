@@ -4,7 +4,8 @@ The field scores whole segments. In the neighbourhood of a trigger (a digit or `
 hide an address) every span whose form may be an entity, and which is no longer than ``MOST_CHARS``, is a candidate; its features see the span
 as a whole (number of digits, checksum, separators, brackets, the word before, what touches it). The types' weights are learned from generated
 sentences by stochastic gradient ascent on the conditional likelihood, with forward and backward sums over segmentations. Decoding is Viterbi over the same lattice:
-boundaries and types of all the entities of a neighbourhood are chosen jointly; a stretch outside entities scores 0.
+boundaries and types of all the entities of a neighbourhood are chosen jointly; a stretch outside entities scores 0. The types have no weights for what follows what: entities in
+prose stand apart, and what one says of the next (a phone number after an address) the words before it say as well. A segment counts by its posterior over all segmentations.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import ipaddress
 import math
 import random
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -24,8 +25,8 @@ from corpuskit.llm.rows import documents, map_documents
 KINDS = ("email", "ip", "card", "phone")
 #: Bounded-entity decoding: a segment has at most so many characters, and neighbourhoods are cut so far from a trigger.
 MOST_CHARS = 80
-#: A decoded segment is added when its posterior log-odds against "no entity" are at least this.
-LEAST_SCORE = 1.0
+#: A decoded segment is added when the posterior probability, over all segmentations of its neighbourhood, of an entity of its type there, with these bounds or others that overlap them, is at least this.
+LEAST_POSTERIOR = 0.5
 
 _EMAIL_RIGHT = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _EMAIL_LEFT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -354,7 +355,7 @@ def neighbourhoods(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def added_spans(text: str, weights: Weights, base: list[tuple[int, int, int]], least: float = LEAST_SCORE) -> list[tuple[int, int, int]]:
+def added_spans(text: str, weights: Weights, base: list[tuple[int, int, int]], least: float = LEAST_POSTERIOR) -> list[tuple[int, int, int]]:
     """Entities that the field finds and that overlap no base span."""
     taken = sorted((a, b) for _, a, b in base)
     ends = [b for _, b in taken]
@@ -365,8 +366,12 @@ def added_spans(text: str, weights: Weights, base: list[tuple[int, int, int]], l
             k = bisect_right(ends, a)
             if k == len(taken) or taken[k][0] >= b:
                 free.append((a, b, features(text, a, b, form)))
-        if free:
-            out += [(kind, a, b) for kind, a, b, score in decode(free, weights) if score >= least]
+        if free and (found := decode(free, weights)):
+            _, posterior = expectations(free, weights)
+            for kind, a, b, _ in found:
+                near = range(bisect_left(free, a - MOST_CHARS, key=lambda c: c[0]), bisect_left(free, b, key=lambda c: c[0]))
+                if sum(posterior[c][kind] for c in near if free[c][1] > a) >= least:
+                    out.append((kind, a, b))
     return out
 
 
@@ -374,7 +379,7 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_score: float = LEAST_SCORE) -> DataFrame:
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_posterior: float = LEAST_POSTERIOR) -> DataFrame:
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone (of base spans), base_sha256, spans, found (array of kind, start, end, base).
 
     Spans are in code points of the whole text, the end exclusive. A null or empty text has no span (empty ``spans`` and ``found``, the digest
@@ -390,7 +395,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
                 base, added = [], []
                 if text and _TRIGGER.search(text):
                     base = base_spans(text)
-                    added = added_spans(text, weights, base, least_score)
+                    added = added_spans(text, weights, base, least_posterior)
                 for k in range(4):
                     out[1 + k].append(sum(s[0] == k for s in base))
                 out[5].append(hashlib.sha256(listed(base).encode()).hexdigest())
