@@ -16,8 +16,27 @@ from pyspark.sql import functions as F
 
 #: (verdict, host, path): a rule holds for its host and all subdomains where the path starts with the rule's.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-STRICT = ("porn", "porno", "xxx", "casino", "viagra", "cialis", "hentai", "camgirls", "escorts", "sexcam", "torrentz", "warez", "slots", "jackpot")
-SOFT = ("adult", "sex", "bet", "betting", "poker", "bonus", "win", "free", "nude", "dating", "pills", "loan", "crack", "keygen", "gambling", "cheap")
+#: Words that hardly stand in the URL of a page of prose: adult, gambling, medicines sold by mail, pirated copies, fraud.
+STRICT = tuple(
+    """
+    porn porno pornos xxx casino casinos viagra cialis levitra hentai camgirls camgirl escort escorts
+    sexcam sexcams torrentz warez slots jackpot spam spammer phishing malware xvideos xnxx redtube youporn
+    pornhub milf milfs blowjob bdsm hardcoreporn sexshop livesex camsex nsfw onlyfans cryptowin linkfarm doorway
+    bookmaker bookmakers sportsbook roulette blackjack baccarat slotmachine tramadol xanax valium ambien modafinil crackz keygens
+    serialz
+    """.split()
+)
+#: Words that do, but seldom two of them: the same matters in general terms, and what sells, tracks or farms links.
+SOFT = tuple(
+    """
+    adult adults sex sexy sexo bet bets betting poker bonus bonuses win wins winner
+    free gratis nude nudes naked dating hookup pills pill loan loans payday credit crack
+    cracked keygen serial gambling cheap cheapest discount deals replica farm pharmacy meds drugs steroids
+    weightloss diet forex crypto bitcoin lottery lotto prize prizes giveaway casual babes hot girls
+    teen teens erotic erotik fetish x stream torrent download downloads hack hacked cheats proxy
+    seo backlinks clicks traffic earn money rich quick ads track tracker popunder click
+    """.split()
+)
 SOFT_LIMIT = 2
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -628,3 +628,54 @@ def test_rejection_is_calibrated(spark):
     ]
     assert not any(p[2] for p in model.predict(foreign))
     assert langid.foreign("Abba, é!") == langid.foreign("abba, é!") and len(langid.foreign("Déjà vu")) == 7
+
+
+LABELLED = [
+    ("Call me at (415) 555-0132 or write to jo at example dot com, please.", {("phone", "(415) 555-0132"), ("email", "jo at example dot com")}),
+    ("Telefon: 030 1234 567 oder 0049 30 123 4567.", {("phone", "0049 30 123 4567")}),
+    ("The card number is 4111.1111.1111.1111 and expires 12/2027.", {("card", "4111.1111.1111.1111")}),
+    ("Server 2001:db8::8a2e:370:7334 answered in 12 ms.", {("ip", "2001:db8::8a2e:370:7334")}),
+    ("Mail max.muster [at] firma [dot] de until 2024-11-12.", {("email", "max.muster [at] firma [dot] de")}),
+    ("My mobile: 555-867-5309, the office is 212.555.0199.", {("phone", "555-867-5309"), ("phone", "212.555.0199")}),
+    ("Order 123456789012 was sent on 2024-11-12, invoice 99812345.", set()),
+    ("ISBN 978-3-1614-8410-0 costs $12 345 678 in all.", set()),
+    ("From 1999-2003 he met her at noon. Com was not yet common.", set()),
+    ("The meeting is at 12:30:45 in room 1234567.", set()),
+    ("Pi is 3.14159265358979 and e is 2.71828182845905.", set()),
+    ("We were at home. Net income rose by 1 234 567 in 2020.", set()),
+    ("Version 10.2.3456789 was built as 20240131123456.", set()),
+]
+
+
+def test_pii_precision_and_recall():
+    """By kind on generated sentences of another seed, base spans included, and over all on sentences written by hand."""
+    weights = pii.trained()
+    hit, said, true = Counter(), Counter(), Counter()
+    for text, gold in pii._generated(99, 500):
+        base = pii.base_spans(text)
+        got = {*base, *pii.added_spans(text, weights, base)}
+        hit.update(k for k, *_ in got & set(gold))
+        said.update(k for k, *_ in got)
+        true.update(k for k, *_ in gold)
+    for kind in range(4):
+        assert hit[kind] >= 0.9 * said[kind] and hit[kind] >= 0.95 * true[kind], pii.KINDS[kind]
+    got = [{(pii.KINDS[k], t[a:b]) for k, a, b in pii.added_spans(t, weights, pii.base_spans(t))} for t, _ in LABELLED]
+    want = [w for _, w in LABELLED]
+    right, found, there = (sum(map(len, x)) for x in ([g & w for g, w in zip(got, want)], got, want))
+    assert right >= 0.85 * found and right >= 0.85 * there, [(g, w) for g, w in zip(got, want) if g != w]
+    low = {(k, a, b) for k, a, b in pii.added_spans(LABELLED[0][0], weights, [], 0.0)}
+    assert {(k, a, b) for k, a, b in pii.added_spans(LABELLED[0][0], weights, [], 2.0)} == set() < low
+
+
+def test_url_vocabulary():
+    """Measured on URLs as they are met: the spam hosts of the given pages, and honest ones."""
+    assert not set(url_filter.STRICT) & set(url_filter.SOFT) and all(w.isalnum() and w == w.lower() for w in url_filter.STRICT + url_filter.SOFT)
+    automaton = url_filter._automaton(url_filter.STRICT, url_filter.SOFT)
+
+    def rejected(url):
+        strict, soft = url_filter.count_terms(url, automaton)
+        return strict > 0 or soft >= url_filter.SOFT_LIMIT
+
+    spam = ["https://spam-farm.example.org/en/728?utm_source=feed", "http://m.free-bets.example.com/en/27#top", "https://m.adult-x.example.net/fr/780", "http://casino-win.example.org/", "http://cheap-pills.example.com/es/1", "http://ads-track.example.com/x", "http://a.b/poker-bonus", "http://x.y/free/sexy/", "http://best.loans.io/payday", "http://replica-discount.example/"]
+    honest = ["https://en.example.org/wiki/Essex", "http://news.example.com/2024/11/12/farm-prices", "https://blog.example.net/how-to-win", "http://shop.example.de/bettwaesche", "https://example.org/free-software", "http://museum.example.fr/exposition/nus", "https://docs.example.io/serialization", "http://middlesex.example.gov/", "https://m.example.com/en/474.html?page=2&ref=x", "http://example.org/diet-and-health", "https://weather.example/hot-days", "http://example.com/scunthorpe-analytics"]
+    assert [u for u in spam if not rejected(u)] == [] and [u for u in honest if rejected(u)] == []
