@@ -4,13 +4,15 @@ Texts with the same set of n-grams are one *set*; its first row stands for it, s
 values. A candidate pair's values are compared a few at a time, and the pair is dropped when the posterior probability that its similarity reaches the threshold
 falls below the tolerance; what is left is verified on the n-grams themselves. Classes are the connected components of the verified links.
 
-Every two sets that share a band are compared, once, so ``n_links`` counts all of a set's links. The sets that share a band are listed as blocks of at most BLOCK by BLOCK
-of them, and a band that many share gives many blocks, so no task has a whole hot band's pairs. All aggregates combine before the shuffle.
+Every two sets that share a band are compared, once, so ``n_links`` counts all of a set's links. Pairs are never moved as such: sets that share a band go as lists into cells, a fixed
+square of places by a hash, where the pairs are formed, made distinct and pruned; what survives is verified in tiles of neighbours, and of a tile only each set's number of
+links and a spanning forest go on. A band that many share spreads over all cells, so no task has a whole hot band's pairs. All aggregates combine before the shuffle.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,15 +29,17 @@ NGRAM, THRESHOLD, TOLERANCE = 3, 0.5, 1e-6
 BANDS, BAND_ROWS = 80, 4
 #: MinHash values compared at a time.
 STEP = 32
-#: Values that come along with a pair at first; only pairs that outlive them get the rest.
+#: MinHash values by which pairs are pruned first; only sets of pairs that outlive them are looked at further.
 HEAD = 64
 #: Rows of ids that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 19
-#: Sets of a band that are held against as many others by one row.
+#: Sets of a band that are paired where they are found; those of a larger band go on in parts of so many and meet, part by part, in the cells.
 BLOCK = 512
+#: Cells, pairs of which the candidates are spread over, for each partition.
+CELLS = 4
 #: Sets, and n-grams of them, of one side of a tile, about: pairs are verified in tiles, each of which gets a set once for all its pairs.
-TILE_SETS, TILE_SHINGLES = 64, 1 << 20
-#: Pairs of a task whose repeats, by bands of the same texts, are looked for at once.
+TILE_SETS, TILE_SHINGLES = 256, 1 << 20
+#: Pairs of a cell or a tile that are looked at at once.
 PAIRS = 1 << 20
 #: Code points hashed at once.
 PIECE = 1 << 19
@@ -206,23 +210,93 @@ def _featured(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, row_key binary, set_key binary, n_shingles long, sig binary, bands array<long>")
 
 
-def _blocks(feats: DataFrame, sets: DataFrame, partitions: int) -> DataFrame:
-    """(left, right): uids of sets that share a band, each of the left to be held against each of the right, or against each other where right is null."""
-    rows = feats.where("n_shingles > 0").select("uid", "bands").join(sets.select("uid"), "uid", "left_semi").select(F.explode("bands").alias("key"), "uid")
-    schema = pa.schema([("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64()))])
+def _small(ids: DataFrame) -> DataFrame:
+    """A column or two of ids out of a written table, to be broadcast if they are few."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
-    def blocks(bucket: np.ndarray) -> Iterator[tuple]:
-        parts = [bucket[at : at + BLOCK] for at in range(0, len(bucket), BLOCK)]
+
+def _cell(uids: np.ndarray, cells: int) -> np.ndarray:
+    return (_mixed(uids.view(np.uint64)) % np.uint64(cells)).astype(np.int64)
+
+
+BLOCKS = "cell long, key long, part int, left array<long>, right array<long>"
+
+
+def _blocks(feats: DataFrame, sets: DataFrame, partitions: int, cells: int) -> DataFrame:
+    """Uids of sets that share a band, as BLOCKS, written. A set has one of ``cells`` numbers, by a hash, and a cell is a pair of numbers, so that a pair of sets lies in the same cell by whichever band it is found.
+
+    A band of at most BLOCK sets is paired here: each of ``left`` is to be held against each of ``right``, or against each other where right is null. Of a larger one the sets go by their
+    number (``part``) into rows without a cell, which ``_spread`` brings to all the cells of that number; nothing holds such a band as a whole.
+    """
+    rows = feats.where("n_shingles > 0").select("uid", "bands").join(_small(sets.select("uid")), "uid", "left_semi").select(F.explode("bands").alias("key"), "uid")
+    schema = pa.schema([("cell", pa.int64()), ("key", pa.int64()), ("part", pa.int32()), ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64()))])
+
+    def paired(bucket: np.ndarray) -> Iterator[tuple]:
+        own = _cell(bucket, cells)
+        if len(bucket) == 2:
+            i, j = sorted((0, 1), key=lambda k: own[k])
+            yield own[i] * cells + own[j], None, None, bucket[i : i + 1], bucket[j : j + 1]
+            return
+        order = np.argsort(own, kind="stable")
+        parts = np.split(bucket[order], np.flatnonzero(np.diff(own[order])) + 1)
+        numbers = np.unique(own)
         for i, left in enumerate(parts):
             if len(left) > 1:
-                yield left, None
-            for right in parts[i + 1 :]:
-                yield left, right
+                yield numbers[i] * cells + numbers[i], None, None, left, None
+            for j in range(i + 1, len(parts)):
+                yield numbers[i] * cells + numbers[j], None, None, left, parts[j]
+
+    class Bucket:
+        """The band that is being read, as far as it has come."""
+
+        def __init__(self, key: int) -> None:
+            self.key, self.size, self.held = key, 0, []
+            self.parts: dict[int, list[np.ndarray]] | None = None
+
+        def add(self, uids: np.ndarray) -> Iterator[tuple]:
+            self.size += len(uids)
+            self.held.append(uids)
+            if self.size > BLOCK:
+                yield from self.deal(BLOCK)
+
+        def deal(self, least: int) -> Iterator[tuple]:
+            self.parts = {} if self.parts is None else self.parts
+            uids = np.concatenate(self.held) if self.held else np.zeros(0, np.int64)
+            self.held = []
+            own = _cell(uids, cells)
+            for n in np.unique(own).tolist():
+                self.parts.setdefault(n, []).append(uids[own == n])
+            for n, some in self.parts.items():
+                if some and sum(map(len, some)) >= least:
+                    whole = np.concatenate(some)
+                    some.clear()
+                    for at in range(0, len(whole), BLOCK):
+                        yield None, self.key, n, whole[at : at + BLOCK], None
+
+        def end(self) -> Iterator[tuple]:
+            if self.parts is not None:
+                yield from self.deal(1)
+            elif self.size > 1:
+                yield from paired(np.concatenate(self.held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []  # the last bucket so far
-        last = None
         out: list[tuple] = []
+        last: Bucket | None = None
+
+        def found(batch: pa.RecordBatch) -> Iterator[tuple]:
+            nonlocal last
+            keys, uids = (batch.column(k).to_numpy() for k in (0, 1))
+            cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+            sizes = np.diff(cuts)
+            # Bands of one set, and most are, say nothing; the first and the last of a batch may go on beyond it.
+            telling = np.flatnonzero(sizes > 1).tolist()
+            for k in sorted({0, *telling, len(sizes) - 1}):
+                key, own = int(keys[cuts[k]]), uids[cuts[k] : cuts[k + 1]]
+                if last is None or last.key != key:
+                    if last is not None:
+                        yield from last.end()
+                    last = Bucket(key)
+                yield from last.add(own)
 
         def flush() -> pa.RecordBatch:
             columns = [pa.array([x[k] for x in out], f.type) for k, f in enumerate(schema)]
@@ -230,111 +304,148 @@ def _blocks(feats: DataFrame, sets: DataFrame, partitions: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys, uids = (batch.column(k).to_numpy() for k in (0, 1))
-            cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
-            if held and keys[0] != last:
-                for x in blocks(np.concatenate(held)):
-                    out.append(x)
-                    if len(out) >= 256:
-                        yield flush()
-                held = []
-            sizes = np.diff(cuts)
-            if held and len(sizes) > 1:
-                bucket = np.concatenate([*held, uids[: cuts[1]]])
-                for x in blocks(bucket):
-                    out.append(x)
-                    if len(out) >= 256:
-                        yield flush()
-                held = []
-                inner = np.flatnonzero(sizes[1:-1] > 1) + 1
-            else:
-                inner = np.flatnonzero(sizes[:-1] > 1)
-            for k in inner:
-                for x in blocks(uids[cuts[k] : cuts[k + 1]]):
+            if batch.num_rows:
+                for x in found(batch):
                     out.append(x)
-                    if len(out) >= 256:
+                    if len(out) >= 1024:
                         yield flush()
-            held.append(uids[cuts[-2] :])
-            last = keys[-1]
-            if out:
-                yield flush()
-        if held:
-            for x in blocks(np.concatenate(held)):
-                out.append(x)
-                if len(out) >= 256:
-                    yield flush()
+        if last is not None:
+            out.extend(last.end())
         if out:
             yield flush()
 
-    found = rows.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(run, "left array<long>, right array<long>")
-    return written(found.repartition(partitions), "blocks")
+    return written(rows.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(run, BLOCKS), "blocks")
 
 
-def _candidates(blocks: DataFrame) -> DataFrame:
-    """The distinct pairs (a, b) of the blocks, a < b."""
+def _spread(blocks: DataFrame, cells: int) -> DataFrame:
+    """The blocks with their cells; parts of large bands in all cells of their number, with the side on which they stand (2: the same number on both sides)."""
+    own = blocks.where("cell is not null").select("cell", F.lit(None).cast("long").alias("key"), F.lit(None).cast("int").alias("side"), "left", "right")
+    parts = blocks.where("cell is null").select("key", "part", "left", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("other"))
+    at = (F.least("part", "other").cast("long") * cells + F.greatest("part", "other")).alias("cell")
+    side = F.when(F.col("part") < F.col("other"), 0).when(F.col("part") > F.col("other"), 1).otherwise(2).cast("int").alias("side")
+    return own.unionByName(parts.select(at, "key", side, "left", F.lit(None).cast("array<long>").alias("right")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[np.ndarray] = []
-        size = 0
 
-        def flush() -> pa.RecordBatch:
-            pairs = np.concatenate(parts)
-            parts.clear()
-            order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-            pairs = pairs[order]
-            first = np.ones(len(pairs), bool)
-            first[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
-            pairs = pairs[first]
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows (a, b) of all parts, each pair once, a < b."""
+    pairs = np.concatenate(parts)
+    pairs = np.stack([pairs.min(axis=1), pairs.max(axis=1)], axis=1)
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    first = np.ones(len(pairs), bool)
+    first[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+    return pairs[first]
 
-        for batch in batches:
-            for left, right in zip(batch.column(0), batch.column(1)):
-                x = left.values.to_numpy()
-                if right.is_valid:
-                    y = right.values.to_numpy()
-                    a, b = np.repeat(x, len(y)), np.tile(y, len(x))
-                else:
-                    i, j = np.triu_indices(len(x), 1)
-                    a, b = x[i], x[j]
-                parts.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-                size += len(a)
-                if size >= PAIRS:
-                    yield flush()
-                    size = 0
-        if parts:
-            yield flush()
 
-    return blocks.mapInArrow(run, "a long, b long").distinct()
+def _product(x: np.ndarray, y: np.ndarray | None) -> np.ndarray:
+    """All pairs of the two, or of the one."""
+    if y is None:
+        i, j = np.triu_indices(len(x), 1)
+        return np.stack([x[i], x[j]], axis=1)
+    return np.stack([np.repeat(x, len(y)), np.tile(y, len(x))], axis=1)
 
 
-def _pruned(pairs: DataFrame, feats: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """The pairs (a, b) that aren't dropped by their MinHash values: by the first HEAD of them, then by all."""
+def _candidates(blocks: DataFrame, feats: DataFrame, partitions: int, cells: int, threshold: float, tolerance: float) -> DataFrame:
+    """The pairs (a, b), a < b, of the blocks that aren't dropped by their first HEAD MinHash values. A cell gets these values once for each of its sets, and each pair however many bands it shares; a pair may be given twice where a cell has more than PAIRS."""
+    spread = _spread(blocks, cells)
+    members = spread.select("cell", F.explode(F.concat("left", F.coalesce("right", F.array().cast("array<long>")))).alias("uid")).distinct()
+    sig = members.join(feats.select("uid", F.substring("sig", 1, HEAD).alias("sig")), "uid").select("cell", "uid", "sig")
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    rows = sig.select("cell", "uid", "sig", none("key", "long"), none("side", "int"), none("left", "array<long>"), none("right", "array<long>"))
+    rows = rows.unionByName(spread.select("cell", none("uid", "long"), none("sig", "binary"), "key", "side", "left", "right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                sides = [np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(part.num_rows, -1) for c in (part.column(2), part.column(3))]
-                keep = surviving(*sides, threshold, tolerance)
-                if keep.any():
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep))
+        cell = key = None
+        uids: list[int] = []
+        sigs: list[bytes] = []
+        known: tuple[np.ndarray, np.ndarray] | None = None
+        parts: list[np.ndarray] = []
+        facing: list[np.ndarray] = []  # of the part of a large band that is being read
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal size, known
+            if parts:
+                if known is None:
+                    known = np.array(uids, np.int64), np.frombuffer(b"".join(sigs), np.uint8).reshape(len(uids), -1)
+                pairs = _distinct(parts)
+                for at in range(0, len(pairs), 1 << 15):
+                    some = pairs[at : at + (1 << 15)]
+                    a, b = (known[1][np.searchsorted(known[0], some[:, k])] for k in (0, 1))
+                    some = some[surviving(a, b, threshold, tolerance)]
+                    if len(some):
+                        yield pa.RecordBatch.from_arrays([pa.array(some[:, 0].copy()), pa.array(some[:, 1].copy())], names=["a", "b"])
+            parts.clear()
+            size = 0
 
-    for values in (F.substring("sig", 1, HEAD), F.col("sig")):
-        sig = feats.select("uid", values.alias("sig"))
-        both = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
-        pairs = both.mapInArrow(run, "a long, b long")
-    return pairs
+        for batch in batches:
+            columns = [batch.column(k) for k in range(7)]
+            heads = list(zip(*(columns[k].to_pylist() for k in (0, 1, 2, 3, 4))))
+            for k, (at, uid, sig, band, side) in enumerate(heads):
+                if at != cell:
+                    yield from flush()
+                    cell, key, uids, sigs, known = at, None, [], [], None
+                if uid is not None:
+                    uids.append(uid)
+                    sigs.append(sig)
+                    continue
+                left = columns[5][k].values.to_numpy()
+                if side is None:
+                    right = columns[6][k]
+                    found = [_product(left, right.values.to_numpy() if right.is_valid else None)]
+                else:
+                    if band != key:
+                        key, facing = band, []
+                    found = [_product(x, left) for x in facing] if side else []
+                    if side == 2:
+                        found.append(_product(left, None))
+                    if side != 1:
+                        facing.append(left)
+                for x in found:
+                    parts.append(x)
+                    size += len(x)
+                    if size >= PAIRS:
+                        yield from flush()
+        yield from flush()
+
+    return rows.repartition(partitions, "cell").sortWithinPartitions("cell", F.col("uid").asc_nulls_last(), "key", "side").select("cell", "uid", "sig", "key", "side", "left", "right").mapInArrow(run, "a long, b long")
+
+
+def _tile_links(pairs: np.ndarray, uids: list[int], sets: list[np.ndarray], sigs: list[bytes], threshold: float, tolerance: float) -> np.ndarray:
+    """The distinct pairs that outlive all their MinHash values and whose n-grams reach the threshold; exact."""
+    pairs = _distinct([pairs])
+    order = np.argsort(np.array(uids, np.int64))
+    known = np.array(uids, np.int64)[order]
+    sig = np.frombuffer(b"".join(sigs[k] for k in order), np.uint8).reshape(len(uids), -1)
+    own = [sets[k] for k in order]
+    a, b = (np.searchsorted(known, pairs[:, k]) for k in (0, 1))
+    alive = np.concatenate([surviving(sig[a[at : at + 8192]], sig[b[at : at + 8192]], threshold, tolerance) for at in range(0, len(a), 8192)])
+    pairs, a, b = pairs[alive], a[alive], b[alive]
+    # n-grams as small numbers, so that those of one set can be marked and the others' marks counted.
+    sizes = np.array([len(s) for s in own])
+    starts = np.cumsum(sizes) - sizes
+    numbers = np.unique(np.concatenate(own), return_inverse=True)[1]
+    marks = np.zeros(int(numbers.max(initial=-1)) + 1, bool)
+    good = np.zeros(len(pairs), bool)
+    cuts = np.flatnonzero(np.diff(a)) + 1
+    for some in np.split(np.arange(len(a)), cuts) if len(a) else ():
+        x = a[some[0]]
+        mine = numbers[starts[x] : starts[x] + sizes[x]]
+        marks[mine] = True
+        for k in some:
+            y = b[k]
+            common = int(np.count_nonzero(marks[numbers[starts[y] : starts[y] + sizes[y]]]))
+            good[k] = common >= threshold * (sizes[x] + sizes[y] - common)
+        marks[mine] = False
+    return pairs[good]
 
 
 def _verified(pairs: DataFrame, feats: DataFrame, keyed: DataFrame, n: int, threshold: float, tolerance: float) -> DataFrame:
-    """(a, b, jaccard) of the pairs that reach the threshold."""
-    pairs = written(_pruned(pairs, feats, threshold, tolerance), "pruned")
+    """(uid, other, n_links), a row for each tile in which a set has links: how many, and a set of its component within the tile. Every pair lies in one tile."""
+    pairs = written(pairs, "pruned")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    needed = written(feats.select("uid", "row_key", "n_shingles").join(ids, "uid", "left_semi"), "needed")
-    small = needed.count() <= BROADCAST_ROWS
-    texts = keyed.select("row_key", "text").join(F.broadcast(needed) if small else needed, "row_key").dropDuplicates(["uid"]).select("uid", "text")
+    ids = written(ids, "ids")
+    needed = written(feats.select("uid", "row_key", "n_shingles", "sig").join(_small(ids), "uid", "left_semi"), "needed")
+    texts = keyed.select("row_key", "text").join(_small(needed.select("uid", "row_key")), "row_key").dropDuplicates(["uid"]).select("uid", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,28 +461,60 @@ def _verified(pairs: DataFrame, feats: DataFrame, keyed: DataFrame, n: int, thre
     tile = F.xxhash64(F.least("place_a", "place_b"), F.greatest("place_a", "place_b")).alias("tile")
     tiled = written(pairs.join(places.toDF("a", "place_a"), "a").join(places.toDF("b", "place_b"), "b").select(tile, "a", "b"), "tiled")
     members = tiled.select("tile", F.explode(F.array("a", "b")).alias("uid")).distinct()
-    rows = members.join(sets, "uid").select("tile", F.lit(None).cast("long").alias("a"), F.col("uid").alias("b"), "s")
-    rows = rows.unionByName(tiled.select("tile", "a", "b", F.lit(None).cast("binary").alias("s")))
+    rows = members.join(sets.join(needed.select("uid", "sig"), "uid"), "uid").select("tile", F.lit(None).cast("long").alias("a"), F.col("uid").alias("b"), "s", "sig")
+    rows = rows.unionByName(tiled.select("tile", "a", "b", F.lit(None).cast("binary").alias("s"), F.lit(None).cast("binary").alias("sig")))
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}  # the sets of a tile come before its pairs
-        last = None
+        tile = None
+        uids: list[int] = []
+        sets: list[np.ndarray] = []  # the sets of a tile come before its pairs
+        sigs: list[bytes] = []
+        parts: list[np.ndarray] = []
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            if not parts:
+                return
+            links = _tile_links(np.concatenate(parts), uids, sets, sigs, threshold, tolerance)
+            parts.clear()
+            if not len(links):
+                return
+            ends, counts = np.unique(links, return_counts=True)
+            parent = dict(zip(ends.tolist(), ends.tolist()))
+
+            def root(x: int) -> int:
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            for a, b in links.tolist():
+                x, y = root(a), root(b)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+            yield pa.RecordBatch.from_arrays([pa.array(ends), pa.array([root(x) for x in ends.tolist()], pa.int64()), pa.array(counts.astype(np.int64))], names=["uid", "other", "n_links"])
+
         for batch in batches:
-            a, b, found = [], [], []
-            for at, x, y, s in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), batch.column(3)):
-                if at != last:
-                    held, last = {}, at
-                if x is None:
-                    held[y] = np.frombuffer(s.as_py(), np.uint64)
-                elif (j := jaccard(held[x], held[y])) >= threshold:
-                    a.append(x)
-                    b.append(y)
-                    found.append(j)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(found, pa.float64())], names=["a", "b", "jaccard"])
+            tiles, a = batch.column(0).to_numpy(), batch.column(1)
+            bounds = [0, *(np.flatnonzero(tiles[1:] != tiles[:-1]) + 1).tolist(), len(tiles)]
+            for begin, end in zip(bounds, bounds[1:]):
+                if begin == end:
+                    continue
+                if tiles[begin] != tile:
+                    yield from counted()
+                    tile, uids, sets, sigs = tiles[begin], [], [], []
+                part = batch.slice(begin, end - begin)
+                named = part.column(1).null_count
+                for uid, s, sig in zip(*(part.slice(0, named).column(k).to_pylist() for k in (2, 3, 4))):
+                    uids.append(uid)
+                    sets.append(np.frombuffer(s, np.uint64))
+                    sigs.append(sig)
+                rest = part.slice(named)
+                if rest.num_rows:
+                    parts.append(np.stack([rest.column(1).to_numpy(), rest.column(2).to_numpy()], axis=1))
+        yield from counted()
 
     by_tile = rows.repartition(int(feats.sparkSession.conf.get("spark.sql.shuffle.partitions")), "tile").sortWithinPartitions("tile", F.col("a").asc_nulls_first())
-    links = written(by_tile.mapInArrow(hold, "a long, b long, jaccard double"), "links")
-    discard(pairs, needed, sets, places, tiled)
+    links = written(by_tile.mapInArrow(hold, "uid long, other long, n_links long"), "links")
+    discard(pairs, ids, needed, sets, places, tiled)
     return links
 
 
@@ -423,13 +566,15 @@ def ngram_join(
     feats = written(_featured(keyed, n, bands, band_rows).withColumn("uid", F.monotonically_increasing_id()), "minhash")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
     sets = written(feats.groupBy("set_key").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).select("set_key", "n", "first", F.col("first.uid").alias("uid")), "sets")
-    blocks = _blocks(feats, sets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    links = _verified(_candidates(blocks), feats.drop("bands"), keyed, n, threshold, tolerance)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = math.ceil(math.sqrt(2 * CELLS * partitions))
+    blocks = _blocks(feats, sets, partitions, cells)
+    links = _verified(_candidates(blocks, feats, partitions, cells, threshold, tolerance), feats.drop("bands"), keyed, n, threshold, tolerance)
     discard(blocks)
-    comps = components(links)
+    comps = components(links.select(F.col("uid").alias("a"), F.col("other").alias("b")))
     rows = written(feats.select("doc_id", "row_key", "set_key", "uid"), "rows")
     discard(feats)
-    count = links.select(F.explode(F.array("a", "b")).alias("uid")).groupBy("uid").agg(F.count(F.lit(1)).alias("n_links"))
+    count = links.groupBy("uid").agg(F.sum("n_links").alias("n_links"))
     bound = sets.join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid")).join(count, "uid", "left")
     classes = bound.groupBy("comp").agg(F.min("first").alias("head"), F.sum("n").alias("class_size"))
     known = bound.join(classes, "comp").select("set_key", "first", "n_links", "head", "class_size")
