@@ -9,15 +9,19 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.rows import documents, map_documents
+from corpuskit.llm.rows import documents, map_documents, slices
 
 MAX_LENGTH, END_ID = 2048, 1
+#: Bits of a sequence's number, by the place of its document in written files.
+FILE_BITS, ROW_BITS, PIECE_BITS = 18, 25, 20
 #: Words whose ids a worker keeps, and the longest of them.
 KNOWN_WORDS, KNOWN_LENGTH = 1 << 19, 48
 
@@ -128,3 +132,37 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longes
 
     found = map_documents(documents(docs, id_col, text_col), "doc_id long, start long, length long, ids binary, doc_tokens long", start)
     return found.select("*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.log2("length").cast("int").alias("bucket"))
+
+
+def pack_as_written(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longest: int = MAX_LENGTH, tokenizer: str | None = None) -> DataFrame:
+    """``pack`` of a table just read from Parquet files, with ``sequence_id`` in the order in which it was written: by the files' numbers, the rows' places in them, and the pieces' in their documents.
+
+    A table that is read again is cut into tasks in another order, but Spark names its files by the partitions and tells each row's place; so no row is moved. There may be 2 ** FILE_BITS files of
+    2 ** ROW_BITS rows, and 2 ** PIECE_BITS pieces of a document; beyond that it fails.
+    """
+    at = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    fits = (at < 1 << FILE_BITS) & (F.col("_metadata.row_index") < 1 << ROW_BITS)
+    place = F.when(fits, F.shiftleft(at, ROW_BITS) + F.col("_metadata.row_index")).otherwise(F.raise_error(F.lit("too many files or rows")))
+    # The place goes along as the id, and the id comes back with the pieces of each row.
+    rows = docs.select(F.struct(F.col(id_col).cast("long").alias("doc_id"), place.alias("place")).alias("key"), F.col(text_col).alias("text"))
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = word_tokenizer(tokenizer)
+        for batch in batches:
+            for part in slices(batch, 1):
+                out: list[list] = [[] for _ in schema]
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    tokens = words.ids(text or "") + END_ID.to_bytes(4, "little")
+                    lengths = piece_lengths(len(tokens) // 4, longest)
+                    if len(lengths) >= 1 << PIECE_BITS:
+                        raise ValueError("too many pieces of one document")
+                    start = 0
+                    for k, length in enumerate(lengths):
+                        for column, value in zip(out, (key["doc_id"], start, length, tokens[4 * start : 4 * (start + length)], len(tokens) // 4, (key["place"] << PIECE_BITS) + k)):
+                            column.append(value)
+                        start += length
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
+    found = rows.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long")
+    return found.select("*", F.lit(0).cast("long").alias("offset"), F.log2("length").cast("int").alias("bucket"))

@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskit.storage import written
+
 #: Rows, and bytes of their texts, handled at once within an Arrow batch; a longer text is handled alone. What a worker holds is bounded by these and the longest text, not by the batch.
 SLICE, SLICE_BYTES = 256, 1 << 22
 
@@ -58,7 +60,19 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text, F.lit("")))))
 
 
-def rows_of(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with their columns, whose ``row_key`` is in ``keys``; of rows that share it, one."""
-    whole = docs.select(F.struct("*").alias("row"), row_key(F.col(id_col), F.col(text_col)).alias("row_key"))
-    return whole.join(keys.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
+#: Keys that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 19
+
+
+def rows_of(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their columns, that ``decided`` (``row_key``, ``kept``; a row for each of ``docs``) keeps; of rows that share their key, and of which one is kept, one.
+
+    What is moved are the keys; rows only where the keys that aren't simply kept are too many to be broadcast, and those that repeat each other.
+    """
+    odd = written(decided.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")).where("n > 1 or not kept"), "odd-keys")
+    side = (F.broadcast(odd) if odd.count() <= BROADCAST_ROWS else odd).select("row_key", F.col("kept").alias("repeated"))
+    whole = docs.select(F.struct("*").alias("row"), row_key(F.col(id_col), F.col(text_col)).alias("row_key")).join(side, "row_key", "left")
+    plain = whole.where("repeated is null").select("row.*")
+    if odd.where("kept").isEmpty():
+        return plain
+    return plain.unionByName(whole.where("repeated").dropDuplicates(["row_key"]).select("row.*"))
