@@ -16,12 +16,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, up to white space, the document with the smallest id."""
-    return rows_of(docs, exact_dedup.exact_dedup(docs, keys=True).where("kept"))
+    return rows_of(docs, exact_dedup.exact_dedup(docs, keys=True))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the smallest id."""
-    return rows_of(docs, ngram_join.ngram_join(docs).where("kept"))
+    return rows_of(docs, ngram_join.ngram_join(docs))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, with their token ids; each piece is a sequence, and ``sequence_id`` follows the mixed order. Tables that are read again keep no order, so it is restored: the schedule depends on the rows alone."""
-    return packing.pack(mixed(spark, docs, sf_dir))
+    """The pieces of all documents, with their token ids; each piece is a sequence, and ``sequence_id`` follows the mixed order, in which the stage before wrote the files. Of a table that isn't read from files, it follows the schedule."""
+    return packing.pack_as_written(docs) if docs.inputFiles() else packing.pack(mixed(spark, docs, sf_dir))
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_duplicates), ("ngram_join", near_duplicates), ("mixing", mixed), ("packing", packed)]
