@@ -4,7 +4,7 @@ The subwords of a text are the runs of 2 to 4 code points within its lower-cased
 ``BUCKETS`` embeddings; the mean over all subwords of the whole text goes through a linear layer and a softmax. The model is trained here by stochastic gradient
 descent in numpy, on a bounded sample of labelled rows (``SAMPLE_ROWS``); every row is predicted. A part of the sample takes no part in the descent: on it,
 whole and thinned out, the softmax's temperature is fitted, and the share of familiar subwords that texts in a learnt language have at least. The score is the softmax's
-probability, lowered in proportion where the share of familiar subwords is less than that. A text is rejected below the score that tells these rows best from texts in
+probability, lowered by a power of the ratio where the share of familiar subwords is less than that. A text is rejected below the score that tells these rows best from texts in
 no learnt language: sampled rows whose letters are exchanged, vowels among vowels and the others among themselves, which leaves the look of a language but none of its words.
 
 What the driver holds is the sample's features and the model, both bounded; prediction is one scan with no exchange.
@@ -36,8 +36,10 @@ FOREIGN_PART = 3
 SAMPLE_SUBWORDS = 1 << 13
 #: Share of the rightly predicted calibration rows that may be rejected, of whole ones and of ones thinned out to as few as eight subwords, and the share of foreign texts that is enough to reject.
 REJECTED_SHARE, REJECTED_THINNED, FOREIGN_SHARE = 0.002, 0.05, 0.995
-#: The most that the rejecting score can be.
-MOST_REJECTING = 0.6
+#: The most that the rejecting score can be: under a half, so that a text in two learnt languages stays.
+MOST_REJECTING = 0.48
+#: The power of the ratio by which the score is lowered where familiar subwords are fewer than they should be.
+UNFAMILIAR = 3
 _VOWELS = frozenset("aeiouyàáâãäåæèéêëìíîïòóôõöøœùúûüýÿ")
 #: Languages whose shares may be broadcast; more are joined by a shuffle.
 BROADCAST_LANGUAGES = 1 << 14
@@ -172,7 +174,7 @@ class Model:
         if not self.languages:
             return [(UNKNOWN, 0.0, False)] * len(texts)
         z, share, lettered = self.logits([t or "" for t in texts])
-        p = _softmax(z / self.temperature) * np.minimum(1, share / self.familiar)[:, None]
+        p = _softmax(z / self.temperature) * np.minimum(1, share / self.familiar)[:, None] ** UNFAMILIAR
         best = z.argmax(axis=1)
         out = []
         for k in range(len(texts)):
@@ -247,12 +249,12 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], buckets: int = BUCKETS
         model.familiar = max(_lowest(share[right]), 1e-6)
         p = _softmax(z / model.temperature).max(axis=1)
         model.unreliable = _unreliability(p, right)
-        score = p * np.minimum(1, share / model.familiar)
+        score = p * np.minimum(1, share / model.familiar) ** UNFAMILIAR
         whole = np.arange(len(both)) < len(held)
         model.rejecting = min(MOST_REJECTING, _lowest(score[right & whole]), _lowest(score[right & ~whole], REJECTED_THINNED))
         if strangers := [(b, c) for b, c in strangers if len(b)]:
             z = np.array([(c / c.sum()) @ (padded[b] @ w) + bias for b, c in strangers])
-            other = _softmax(z / model.temperature).max(axis=1) * np.minimum(1, np.array([c @ known[b] / c.sum() for b, c in strangers]) / model.familiar)
+            other = _softmax(z / model.temperature).max(axis=1) * np.minimum(1, np.array([c @ known[b] / c.sum() for b, c in strangers]) / model.familiar) ** UNFAMILIAR
             model.rejecting = min(model.rejecting, float(np.quantile(other, FOREIGN_SHARE)))
     return model
 
