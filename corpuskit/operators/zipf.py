@@ -14,8 +14,14 @@ from corpuskit.functions.words import plain_words
 RUN = 1 << 16
 
 
-def word_counts(docs: DataFrame, text: str = "text", words=plain_words) -> DataFrame:
-    """(word, count), over all texts; combined in each task before the shuffle."""
+def word_counts(docs: DataFrame, text: str = "text", words=plain_words, pieces=None) -> DataFrame:
+    """(word, count), over all texts; combined in each task before the shuffle.
+
+    ``pieces`` parts a text where no word goes over: equal pieces are counted first, and ``words``, where that is dear, sees each of them once.
+    """
+    if pieces is not None:
+        found = docs.select(F.explode(pieces(F.col(text))).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+        return found.select("n", F.explode(words(F.col("piece"))).alias("word")).groupBy("word").agg(F.sum("n").alias("count"))
     return docs.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpuskit.functions import arpa, tags
 from corpuskit.functions.lines import bind, lines
 from corpuskit.functions.tlsh import tlsh_hash
-from corpuskit.functions.words import unicode_words
+from corpuskit.functions.words import spaced_pieces, unicode_words
 from corpuskit.operators import annotate, filters, identify, multilingual, package, rebuild, transforms, zipf
 from corpuskit.plans import corpus
 from corpuskit.plans.oracle import BLOCKED_DOMAINS, BLOCKED_URLS, BLOCKLIST, LABELS, oracle_sql
@@ -209,7 +209,7 @@ def zipf_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def zipf_unicode_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zipf.word_counts(_docs(spark, sf_dir), words=unicode_words)
+    return zipf.word_counts(_docs(spark, sf_dir), words=unicode_words, pieces=spaced_pieces)
 
 
 @_query

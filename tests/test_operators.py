@@ -11,8 +11,9 @@ from corpuskit.functions import arpa, tags
 from corpuskit.functions import tlsh as hashing
 from corpuskit.functions.lines import lines
 from corpuskit.functions.tlsh import tlsh, tlsh_hash
-from corpuskit.functions.words import break_words
+from corpuskit.functions.words import break_words, spaced_pieces, unicode_words
 from corpuskit.operators import annotate, filters, identify, multilingual, package, rebuild, transforms, zipf
+from corpuskit.plans.queries import queries
 from corpuskit.schema import BadInput, IncompleteLocation
 
 LONG, SHORT = "x" * 150, "y" * 20
@@ -210,6 +211,33 @@ def test_zipf(spark):
     assert zipf.ranking(counts.where("false")).count() == 0
 
 
+def test_words_without_a_look_at_each_place(spark):
+    """The quick ways give the pieces between boundaries, also of the texts parted at spaces."""
+    import regex
+
+    slow = lambda t: [w.lower() for w in regex.split(r"(?V1w)\b", t) if w and regex.search(r"[\p{L}\p{N}]", w)]
+    rng = random.Random(7)
+    kinds = ["abcXYZ", "éÀßñ", "0123", "__", ":.'’‘·", ",;.'", " \n\r\t", '-"“!@', "\u0301\u00ad\u200d", "אב", "カナー", "字ひ", "²½", "\U0001f1e6\U0001f1e7", "👍\U0001f3fb", "ﾞ", "İΣς", "\u2028\u2009"]
+    texts = ["".join(rng.choice(rng.choice(kinds[: rng.choice((1, 4, 8, 18))])) for _ in range(rng.randrange(1, 16))) for _ in range(3000)]
+    texts += ["l'avion d'été, can't 'a 3.14 1,000 a_b ___ x:y", "a  \u0308b", " ﾞa", "🇴b 🇴 b", "Ὀδυσσεύς ΣΟΦΟΣ", "", " ", "\n"]
+    want = [slow(t) for t in texts]
+    assert [break_words(t) for t in texts] == want
+    assert [[w for p in r[0] for w in break_words(p)] for r in of(spark, texts, spaced_pieces(F.col("text")))] == want
+    attached = regex.findall(r"[\p{WB=Extend}\p{WB=Format}\p{WB=ZWJ}]", "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000))
+    ((whole,),) = of(spark, ["".join(f" {c}" for c in attached)], spaced_pieces(F.col("text")))
+    assert len(whole) == 1
+
+
+def test_unicode_counts_break_each_piece_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "foo's 3.14,\nbar FOO'S " * 2000), (2, None), (3, ""), (4, "bar\r\n\u0301x")], "doc_id long, text string")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    counts = queries()["zipf_unicode_counts"](spark, str(tmp_path))
+    assert {r.word: r["count"] for r in counts.collect()} == {"foo's": 4000, "3.14": 2000, "bar": 2001, "x": 1}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("EvalPython") < plan.index("Aggregate [piece")  # what Python sees are distinct pieces
+    assert counts.collect() and sorted(counts.collect()) == sorted(zipf.word_counts(rows, words=unicode_words).collect())
+
+
 def test_locations():
     whole = {"shard_id": 1, "record_id": "a", "line_start": 0, "line_end": 3, "loc_in_shard": 4}
     assert rebuild.checked_location(**whole) == whole
