@@ -303,6 +303,30 @@ def test_hashes_in_step_are_those_of_each_text(monkeypatch):
         assert hashing.hashes(datas) == want
 
 
+def test_a_batch_of_texts_is_hashed_where_it_lies(monkeypatch):
+    """What is held beside the Arrow batch is a fraction of it."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdefghij éß字", k=2000)) for _ in range(400)]
+    want = hashing.hashes([t.encode() for t in texts[:20]])
+    odd = pa.array(["", None, *texts[:20], None, "a" * 60])
+    given = [None, None, *[f"tlsh:{h}" for h in want], None, None]
+    assert next(hashing.tlsh_hash.func(iter([odd]))).to_pylist() == given
+    assert next(hashing.tlsh_hash.func(iter([odd.slice(1, 5)]))).to_pylist() == given[1:6]
+    assert next(hashing.tlsh_hash.func(iter([pa.array(["", None], pa.large_string())]))).to_pylist() == [None, None]
+    assert next(hashing.tlsh_hash.func(iter([pa.array([], pa.string())]))).to_pylist() == []
+    monkeypatch.setattr(hashing, "MOST_CELLS", 1 << 17)
+    batch = pa.array(texts)
+    tracemalloc.start()
+    got = next(hashing.tlsh_hash.func(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist()[:20] == given[2:22] and most < batch.nbytes * 3 / 4
+
+
 def test_fasttext_with_a_double(spark, tmp_path):
     """A stand-in package: the label is a line's first word, the probability falls with its length."""
     (tmp_path / "fasttext.py").write_text(
